@@ -91,7 +91,7 @@ one AS (
   SELECT job, t_us, state FROM told WHERE state <> ''
   QUALIFY row_number() OVER (PARTITION BY job, t_us ORDER BY ingested_at DESC NULLS LAST, snapshot_id DESC) = 1),
 moves AS (
-  SELECT job, state, t_us FROM one QUALIFY lag(state) OVER w IS NULL OR lag(state) OVER w <> state WINDOW w AS (PARTITION BY job ORDER BY t_us))
+  SELECT job, state, t_us FROM one WINDOW w AS (PARTITION BY job ORDER BY t_us) QUALIFY lag(state) OVER w IS NULL OR lag(state) OVER w <> state)
 """
 ORACLE: dict[str, str] = {
     "p2_found": _VERSIONS + "SELECT job AS extracted_source_job_id, state AS closed_state, t_us AS valid_from_us FROM moves",
