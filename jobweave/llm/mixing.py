@@ -22,7 +22,9 @@ from jobweave.operators.prefix import prefix_sums
 from jobweave.session import checkpointed
 
 
-_ALL = Window.partitionBy(F.lit(0))
+def _all():
+    """One window over all rows of a table that does not grow with the data."""
+    return Window.partitionBy(F.lit(0))
 
 
 def quality_weight(text: Column) -> Column:
@@ -40,8 +42,8 @@ def _budgets(sized: DataFrame, targets: DataFrame, total_tokens: float | None) -
     usable = (F.col("tokens") > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
     rows = rows.withColumn("share", F.when(usable, F.col("target_share")).otherwise(F.lit(0.0)))
     rows = rows.withColumns({  # windows over the targets, a table that does not grow with the data
-        "present": F.sum("share").over(_ALL),
-        "reach": F.min(F.when(usable, F.col("tokens") * F.col("max_repeats") / F.col("share"))).over(_ALL),
+        "present": F.sum("share").over(_all()),
+        "reach": F.min(F.when(usable, F.col("tokens") * F.col("max_repeats") / F.col("share"))).over(_all()),
     })
     total = F.lit(float(total_tokens)) if total_tokens else F.col("reach") * F.col("present")
     budget = F.least(F.col("share") / F.col("present") * total, F.col("tokens") * F.col("max_repeats"))
@@ -63,7 +65,7 @@ def mix(sized: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     drawn = (F.col("running") <= F.col("to_draw") + F.lit(1e-6)).cast("int")
     rows = ordered.withColumn("copies", F.col("epochs") + drawn).where("copies > 0").select("doc_id", "source", "copies", "n_tokens", "target_share")
     got = rows.groupBy("source").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("got"))
-    got = got.select("source", (F.col("got") / F.sum("got").over(_ALL)).alias("actual_share"))  # a row per target
+    got = got.select("source", (F.col("got") / F.sum("got").over(_all())).alias("actual_share"))  # a row per target
     return rows.join(got, "source").select("doc_id", "source", "copies", "n_tokens", "target_share", "actual_share")
 
 
@@ -73,5 +75,5 @@ def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
         F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens"), F.count(F.lit(1)).alias("documents"), F.max("copies").alias("most_copies"))
     rows = targets.join(got, "source", "left").select(
         "source", "target_share", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("tokens", "documents", "most_copies")])
-    everything = F.greatest(F.sum("tokens").over(_ALL), F.lit(1))
+    everything = F.greatest(F.sum("tokens").over(_all()), F.lit(1))
     return rows.select("source", "target_share", (F.col("tokens") / everything).alias("actual_share"), "tokens", "documents", "most_copies")

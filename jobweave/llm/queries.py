@@ -7,13 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweave.llm import consensus, encoding, matching, mixing, percentiles, splitting
+from jobweave.llm import consensus, encoding, matching, mixing, percentiles, pii, splitting
 from jobweave.session import table
 
 SURVIVING = ["company_name", "company_industry", "company_size", "seniority", "education_level"]
 FRACTIONS = [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
 
 
+def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "synthetic_jobs").select("record_id", "description_raw")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = pii.find(_described(spark, sf_dir), "record_id", "description_raw")
+    return spans.select(F.col("id").alias("record_id"), "pii_type", F.col("a").alias("span_start"))
+
+
+def p1_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every description with typed placeholders."""
+    texts = _described(spark, sf_dir)
+    return pii.redact(texts, "record_id", "description_raw", pii.find(texts, "record_id", "description_raw"))
+
+
 def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
     clusters, jobs, trust = (table(spark, sf_dir, t) for t in ("topdev_duplicates", "job_postings_gold_template", "source_trust"))
     return consensus.members(
@@ -123,7 +138,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p3_found": p3_found, "p3_golden": p3_golden, "p3_vote": p3_vote, "p5_found": p5_found, "p5_report": p5_report,
+    "p1_found": p1_found, "p1_redacted": p1_redacted, "p3_found": p3_found, "p3_golden": p3_golden, "p3_vote": p3_vote, "p5_found": p5_found, "p5_report": p5_report,
     "p7_percentiles": p7_percentiles, "p7_merged_days": p7_merged_days, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip,
     "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pieces": p10_pieces,
 }
