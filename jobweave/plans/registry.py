@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from jobweave.plans import core_queries
+from jobweave.plans import core_queries, duplicate_queries, read_queries, warehouse_queries
 
-_MODULES = [core_queries]
+_MODULES = [core_queries, read_queries, duplicate_queries, warehouse_queries]
 
 
 def queries() -> dict:
