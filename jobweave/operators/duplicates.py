@@ -52,9 +52,10 @@ def score(a: str, b: str) -> Column:
     c = lambda s, n: F.col(f"{s}.{n}")
     same = lambda n: F.when(c(a, n).isNotNull() & (c(a, n) == c(b, n)), 1).otherwise(0)
     ten = "decimal(20,10)"
-    return (
+    total = (
         F.lit(40).cast(ten) * jaccard(c(a, "title_tokens"), c(b, "title_tokens")) + F.lit(15).cast(ten) * jaccard(c(a, "skills"), c(b, "skills"))
         + (25 * same("company") + 10 * same("city") + 5 * same("employment") + 5 * same("salary")).cast(ten))
+    return F.round(total, 6)  # thirds of tokens would else end just below a threshold
 
 
 def probable_pairs(prints: DataFrame, threshold: int = 80) -> DataFrame:
