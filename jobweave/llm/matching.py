@@ -163,10 +163,11 @@ def tries(reference: Sequence[tuple[int, str, str, Sequence[str] | None]], short
 
 
 def map_values(values: DataFrame, reference: Sequence[tuple[int, str, str, Sequence[str] | None]], spread: Sequence[str], short_forms: dict | None = None) -> DataFrame:
-    """``values`` (with ``kind`` and ``value``) of those rows that need mapping, with ``ref_id``.
+    """(kind, value, spread, ref_id) of the ``values`` (with ``kind`` and ``value``) that need mapping.
 
-    ``reference`` is a list that does not grow with the data; ``spread`` are columns that tell rows apart.
+    ``reference`` is a list that does not grow with the data; ``spread`` are the columns that name a row.
     """
+    values = values.select("kind", "value", *spread)
     names = F.create_map(*[
         x for kind in {r[1] for r in reference} for x in (F.lit(kind), F.array(*[F.lit(r[2]) for r in reference if r[1] == kind and r[2]]))
     ]) if reference else None

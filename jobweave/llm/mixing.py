@@ -57,7 +57,8 @@ def mix(sized: DataFrame, targets: DataFrame, total_tokens: float | None = None,
 
     A row per document of the mix; ``actual_share`` is what its source reached.
     """
-    sized = sized.where((F.col("n_tokens") > 0) & F.col("source").isNotNull())
+    sized = sized.where((F.col("n_tokens") > 0) & F.col("source").isNotNull()).select("doc_id", "source", "n_tokens", "weight")
+    targets = targets.select("source", "target_share", "max_repeats")
     budgets = checkpointed(_budgets(sized, targets, total_tokens))
     uniform = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(2 ** 52)) + 1) / F.lit(2.0 ** 52 + 1)
     keyed = sized.join(budgets.drop("tokens"), "source").withColumn("draw", -F.log(uniform) / F.col("weight"))
@@ -71,6 +72,7 @@ def mix(sized: DataFrame, targets: DataFrame, total_tokens: float | None = None,
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, actual_share, tokens, documents, most_copies): the report, sources without documents included."""
+    targets = targets.select("source", "target_share")
     got = mixed.groupBy("source").agg(
         F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens"), F.count(F.lit(1)).alias("documents"), F.max("copies").alias("most_copies"))
     rows = targets.join(got, "source", "left").select(

@@ -68,7 +68,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("skills_raw", F.array().cast("array<string>")),
         lambda s, i: F.struct(F.lit("skills_raw").alias("field_name"), F.lit("skill").alias("kind"), i.alias("value_no"), s.alias("value")))
     values = jobs.select("record_index", F.explode(F.concat(one("location_raw", "city"), one("title_raw", "title"), skills)).alias("v")).select("record_index", "v.*")
-    return matching.map_values(values, reference, ["record_index", "value_no"]).select("record_index", "field_name", "value_no", "ref_id")
+    return matching.map_values(values, reference, ["record_index", "field_name", "value_no"]).select("record_index", "field_name", "value_no", "ref_id")
 
 
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
