@@ -281,13 +281,14 @@ def find(df: DataFrame, id_col: str, text_col: str, least: float = 0.5) -> DataF
 def redact(df: DataFrame, id_col: str, text_col: str, spans: DataFrame) -> DataFrame:
     """(id_col, redacted): every text with ``[TYPE]`` in place of each span, all else unchanged."""
     per = spans.groupBy("id", "h").agg(F.array_sort(F.collect_list(F.struct("a", "b", "pii_type"))).alias("s"))
-    texts = df.select(F.col(id_col), F.col(text_col), F.xxhash64(text_col).alias("_h"))
-    joined = texts.join(per, texts[id_col].eqNullSafe(per["id"]) & (texts["_h"] == per["h"]), "left")
+    texts = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_h"))
+    joined = texts.join(per, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_h") == F.col("h")), "left")
+    text = F.col("_text")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("upto"))
 
     def put(acc: Column, s: Column) -> Column:
-        between = F.substr(F.col(text_col), acc["upto"] + 1, s["a"] - acc["upto"])
+        between = F.substr(text, acc["upto"] + 1, s["a"] - acc["upto"])
         return F.struct(F.concat(acc["out"], between, F.lit("["), s["pii_type"], F.lit("]")).alias("out"), s["b"].alias("upto"))
 
-    done = F.aggregate("s", start, put, lambda acc: F.concat(acc["out"], F.substr(F.col(text_col), acc["upto"] + 1)))
-    return joined.select(F.col(id_col), F.when(F.col("s").isNull(), F.col(text_col)).otherwise(done).alias("redacted"))
+    done = F.aggregate("s", start, put, lambda acc: F.concat(acc["out"], F.substr(text, acc["upto"] + 1)))
+    return joined.select(F.col("_id").alias(id_col), F.when(F.col("s").isNull(), text).otherwise(done).alias("redacted"))
