@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobweave.operators import skills, timestamps
+from jobweave.operators import pipeline, skills, timestamps
 from jobweave.operators.parsers import classify_title
 from jobweave.plans.warehouse_queries import observations
 from jobweave.session import table
@@ -61,11 +61,16 @@ def jsonld_extract(spark, d):
     return found.select("page_id", "title_raw", "company_name_raw", "experience_raw")
 
 
+def taxonomy_of(spark, d):
+    """The reference list's skills: a fixed list."""
+    reference = table(spark, d, "ref_items").where("kind = 'skill'").limit(10_000).collect()
+    return [(r.canonical_name, [a for a in r.aliases or [] if a], "skill") for r in reference]
+
+
 @query()
 def match_skills(spark, d):
     """Skills named in the raw descriptions, by the names of the reference list."""
-    reference = table(spark, d, "ref_items").where("kind = 'skill'").limit(10_000).collect()
-    taxonomy = [(r.canonical_name, [a for a in r.aliases or [] if a], "skill") for r in reference]
+    taxonomy = taxonomy_of(spark, d)
     texts = table(spark, d, "synthetic_jobs").select("record_id", "description_raw")
     found = skills.match_skills(texts, "description_raw", taxonomy)
     return found.select("record_id", F.explode("skills").alias("s")).select("record_id", "s.skill", "s.start", "s.stop", "s.confidence")
@@ -77,3 +82,31 @@ def stream_daily_counts(spark, d):
     """The streaming operator on a table; its test runs it on a stream."""
     o = observations(spark, d).withColumn("observed_at", F.col("fetched_at").cast("timestamp"))
     return daily.daily_counts(o).withColumn("day", F.col("day").cast("string"))
+
+
+def normalised(spark, d):
+    raw = table(spark, d, "synthetic_jobs")
+    return pipeline.enrich(pipeline.normalise(raw, taxonomy_of(spark, d)))
+
+
+@query()
+def pipeline_records(spark, d):
+    """Every raw posting with all its readings."""
+    r = normalised(spark, d)
+    return r.select(
+        "record_id", F.col("title.display").alias("title"), F.col("title.category.primary_category").alias("category"), F.col("salary.minimum").alias("salary_min"), F.col("salary.maximum").alias("salary_max"),
+        F.col("experience.minimum_years").alias("years_min"), F.array_join(F.transform("skills", lambda s: s["skill"]), ", ").alias("skills"), F.col("work_mode.value").alias("work_mode"),
+        F.array_join(F.transform("issues", lambda i: i["code"]), ",").alias("issues"))
+
+
+@query("""SELECT 'coverage:' || field AS measure, count(*) AS eligible, count(*) FILTER (v IS NOT NULL AND v <> '') AS reached,
+round(CAST(count(*) FILTER (v IS NOT NULL AND v <> '') AS DOUBLE) / nullif(count(*), 0), 4) AS rate
+FROM (SELECT unnest(['title_raw', 'salary_raw', 'experience_raw', 'description_raw']) AS field, unnest([title_raw, salary_raw, experience_raw, description_raw]) AS v FROM synthetic_jobs) GROUP BY field""")
+def pipeline_coverage(spark, d):
+    """How many postings have each raw text field."""
+    return pipeline.report(normalised(spark, d)).where("measure LIKE 'coverage:%' AND measure <> 'coverage:skills_raw'")
+
+
+@query()
+def pipeline_report(spark, d):
+    return pipeline.report(normalised(spark, d))
