@@ -157,7 +157,9 @@ def encode(df: DataFrame, id_col: str, text_col: str, path: str | None = None, w
     docs = df.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).alias("key"), F.col(text_col).alias("text")).repartition("key")
     tokens = docs.select("key", F.posexplode_outer(words_of(F.col("text"))).alias("pos", "word"))
     cells = F.when(F.col("ids").isNotNull(), F.struct("pos", "ids"))
-    grouped = _with_ids(tokens, known).groupBy("key").agg(F.array_sort(F.array_distinct(F.collect_list(cells))).alias("cells"))
+    grouped = _with_ids(tokens, known).groupBy("key").agg(F.sort_array(F.collect_list(cells)).alias("cells"))
+    # repeated rows have every place twice, side by side once sorted
+    grouped = grouped.withColumn("cells", F.filter("cells", lambda c, i: (i == 0) | (F.col("cells")[F.greatest(i - 1, F.lit(0))]["pos"] != c["pos"])))
     names = [F.col("key.id").alias(id_col)] + ([F.col("key.h").alias("text_hash")] if with_hash else [])
     return grouped.select(*names, F.flatten(F.transform("cells", lambda c: c["ids"])).alias("ids"))
 
