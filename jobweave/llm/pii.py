@@ -64,6 +64,8 @@ _ROAD = r"(?i:đường|phố|đại lộ|duong|pho|dai lo)"
 _ADMIN = rf"(?:(?:P|Q|TP|TX|H|X)\.\s?(?:\d+|{_WS})|(?i:phường|quận|xã|huyện|thị trấn|thị xã|thành phố|tỉnh|phuong|quan|xa|huyen|thi tran|thi xa|thanh pho|tinh|Ward|District|Dist\.)[ ]+(?:\d+|{_WS}))"
 _TAIL = rf"(?:[ ]*,[ ]*(?:{_ADMIN}|{_WS}))*"
 _EN = r"(?:Road|Rd\.?|Street|St\.?|Avenue|Ave\.?|Boulevard|Blvd\.?|Drive|Dr\.?|Lane|Ln\.?|Way|Court|Place|Square|Quay|Terrace|Crescent)"
+_POST = rf"\d{{4,5}}[ ]{_W}(?:[ ]{_W})?"  # postal code and town
+_STREET_NAME = r"(?i:straße|strasse|str\.|weg|gasse|allee|platz|ring|damm|ufer|hang|steig|hof)\s\d"
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]*\s?(?:@|[(\[{]\s?(?:at|AT)\s?[)\]}])\s?[A-Za-z0-9\-]+(?:(?:\.|\s?[(\[{]\s?(?:dot|DOT)\s?[)\]}]\s?)[A-Za-z0-9\-]+)+")
 PHONE = re.compile(r"(?<![A-Za-z0-9_+#@])(?<!\d[.,/\-:])(?:\(\+?\d{1,4}\)|\+?\d)(?:[ .\-]?(?:\(\d{1,4}\)|\d))+(?![A-Za-z0-9_])")
 ID = re.compile(r"(?<![A-Za-z0-9_\-.#/+])(?:[A-Z][ ]?\d{7,8}|\d{3}[ \-]\d{2}[ \-]\d{4}|\d{4}([ .\-])\d{4}\1\d{4}|\d{3}[ .\-]?\d{3}[ .\-]?\d{3}(?:[ .\-]?\d{3})?)(?![A-Za-z0-9_\-/]|[.,]\d)")
@@ -74,6 +76,7 @@ ADDRESSES = [re.compile(p) for p in (
     rf"(?<![\w/.,\-]){_NO}[ ]+{_WS}[ ]*,[ ]*{_ADMIN}{_TAIL}",
     rf"(?<![\w/.,\-])\d{{1,5}}[A-Za-z]?[ ]+{_W}(?:[ ]+{_W}){{0,3}}?\s{_EN}(?!\w){_TAIL}",
     rf"(?<!\w){_ROAD}[ ]+{_WS}[ ]*,[ ]*(?:số[ ]+\d+|{_ADMIN}){_TAIL}",
+    rf"(?<![\w/.,\-])(?:{_W}[ ]){{0,2}}{_W}[ ]\d{{1,4}}[a-z]?,[ ]?{_POST}",
 )]
 _HONORIFIC = re.compile(r"^(?:Mr|Ms|Mrs|Miss|Dr|Anh|Chị|Ông|Bà|Cô|Chú|Thầy|Em)$")
 CJK_NAME = re.compile(r"(?<![一-鿿々])[一-鿿々]{1,3}[ \u3000][一-鿿々ぁ-ゖァ-ヺ]{1,4}(?![一-鿿々ぁ-ゖァ-ヺ])|(?<![一-鿿々ぁ-ゖァ-ヺ])[一-鿿々]{2,6}(?![一-鿿々ぁ-ゖァ-ヺ])|[一-鿿々]{2,5}(?=さん|様|氏)")
@@ -122,8 +125,12 @@ def _proposals(t: str) -> Iterator[tuple[str, int, int]]:
     for m in ID.finditer(t):
         yield "ID_NUMBER", m.start(), m.end()
     for m in PHONE.finditer(t):
-        if 8 <= sum(c.isdigit() for c in m.group()) <= 14:
-            yield "PHONE", m.start(), m.end()
+        starts = [m.start()]
+        if sum(c.isdigit() for c in m.group()) > 14:  # two numbers with a space between
+            starts += [m.start() + x.start() + 1 for x in re.finditer(r"(?<=\d)[ ](?=[0+(])", m.group()) if sum(c.isdigit() for c in m.group()[:x.start()]) >= 9][:1]
+        for a, b in zip(starts, [*(x - 1 for x in starts[1:]), m.end()]):
+            if 8 <= sum(c.isdigit() for c in t[a:b]) <= 14:
+                yield "PHONE", a, b
     last = -1
     for a, b in sorted((m.start(), -m.end()) for p in ADDRESSES for m in p.finditer(t)):
         if a >= last:
@@ -149,7 +156,7 @@ def _proposals(t: str) -> Iterator[tuple[str, int, int]]:
         if len(run) > 1 or led:
             yield "NAME", a, b
     for m in CJK_NAME.finditer(t):
-        if " " in m.group() or "\u3000" in m.group() or _NAME_BEFORE.search(plain(t[max(0, m.start() - 24):m.start()])) or _NAME_AFTER.match(t[m.end():m.end() + 12]):
+        if " " in m.group() or "\u3000" in m.group() or _TITLE.search(t[max(0, m.start() - 8):m.start()]) or _NAME_BEFORE.search(plain(t[max(0, m.start() - 24):m.start()])) or _NAME_AFTER.match(t[m.end():m.end() + 12]):
             yield "NAME", m.start(), m.end()
 
 
@@ -170,7 +177,7 @@ def _votes(kind: str, t: str, a: int, b: int, before: str, after: str) -> list[i
         return [yes(_ID_WORDS.search(before)), yes(re.fullmatch(r"\d{3}-\d{2}-\d{4}", span)), yes(re.fullmatch(r"[A-Z]\d{7}", span)), yes(len(digits) == 12 and digits[0] == "0" and "-" not in span),
                 no(_CODE_WORDS.search(before)), no(_AMOUNT_AFTER.search(after)), no(_PHONE_WORDS.search(before) and not _ID_WORDS.search(before)), no(not _ID_WORDS.search(before))]
     if kind == "ADDRESS":
-        return [yes(_AT_PLACE.search(before)), yes(re.search(_ADMIN, span)), yes(re.search(rf"{_ROAD}\s|{_LANE}\s|\s{_EN}(?!\w)", span)), yes(re.match(r"\d", span)),
+        return [yes(_AT_PLACE.search(before)), yes(re.search(rf"{_ADMIN}|,[ ]?{_POST}", span)), yes(re.search(rf"{_ROAD}\s|{_LANE}\s|\s{_EN}(?!\w)|{_STREET_NAME}", span)), yes(re.match(r"\d", span)),
                 no(re.search(r"(?:tang|floor|phong|khu)\s*$", before)), yes(any(p in plain(span) for p in PLACES)), no(re.search(r"(?:\bin|khoang|hon|version|\bover)\s*$", before))]
     words = [plain(w).strip(".'’-") for w in span.split()]
     return [yes(_NAME_BEFORE.search(before) or _TITLE.search(t[max(0, a - 8):a])), yes(_NAME_AFTER.search(after)), yes(words[0] in SURNAMES and len(words) > 1), no(any(w in NO_NAME_WORDS for w in words)), no(_THING_BEFORE.search(before)),

@@ -10,7 +10,7 @@ TEMPLATES = [
     ("Gửi CV về {} nhé. ", "EMAIL", ["an.tran@mail.example", "hr+kha (at) mail (dot) visgate (dot) test", "QUYEN@X-Y.EXAMPLE"]),
     ("Hotline {} để được tư vấn. ", "PHONE", ["0912345678", "+84 912 345 678", "(028) 3822 1234", "０９１２３４５６７８", "(+84)951761391"]),
     ("CCCD số {} có hiệu lực. ", "ID_NUMBER", ["099095156183", "098 081 460 870"]), ("Passport {} is registered. ", "ID_NUMBER", ["X4363276"]), ("SSN {} ok. ", "ID_NUMBER", ["000-98-6774"]),
-    ("Phỏng vấn tại {}. ", "ADDRESS", ["414 đường Suối Tơ, phường Hải Đăng, quận 17", "Hẻm 56/13 Đồi Thông Nhỏ, xã Bến Mộng", "80 Old Kiln Lane, Ward 31, Bac Ninh", "208 duong Canh Dieu, phuong Suoi Tien Nu"]),
+    ("Phỏng vấn tại {}. ", "ADDRESS", ["414 đường Suối Tơ, phường Hải Đăng, quận 17", "Hẻm 56/13 Đồi Thông Nhỏ, xã Bến Mộng", "80 Old Kiln Lane, Ward 31, Bac Ninh", "208 duong Canh Dieu, phuong Suoi Tien Nu", "Am Falkenhang 38, 00151 Ostringen"]),
     ("Ask for Mr {}, phone later. ", "NAME", ["Nguyễn Lĩnh Vịnh", "T. Dunmarrow"]), ("Gặp anh {} (HR). ", "NAME", ["Lê Văn Khuê", "水守　航", "Taddeo Osterby"]),
 ]
 FILLER = ["Order no. 499699843022 was handled in 118 ms. ", "Mã tin 445297710, cập nhật ngày 20/04/2026. ", "Mã số doanh nghiệp 0004860005. ", "Use the pattern user@host in the config. ", "Uptime 99.9%, version 10.24.108.7. ", "Liên hệ: [REDACTED_EMAIL]. ", "Tầng 13, khu A. ",
