@@ -6,7 +6,8 @@ last boundary under the limit, found by binary search, best kind first, as long
 least half full; then at any boundary, then between words, else by a hard cut between characters. The next
 piece steps back by the overlap from there.
 
-The limit holds for a piece as part of the document's tokens and for its text encoded on its own.
+The limit holds for a piece's text on its own as well: ranked merges never crossed a token boundary of the
+whole text, so the tokens between two boundaries are encoded alike without what is around them.
 The overlap is exact, but where it would begin inside a character it begins with that character.
 
 Defined results: null, empty and short texts give no piece (nothing has to be cut); rows with the
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.encoding import bpe, encode, load_ranks, vocabulary_path
+from jobweave.llm.encoding import encode, load_ranks, vocabulary_path
 
 BOUNDARIES = [
     ("paragraph", re.compile(r"(?:\r\n|\n|\r)[^\S\r\n]*(?:\r\n|\n|\r)\s*|</p>|</div>|</ul>")),
@@ -37,8 +38,8 @@ _WORD_END = re.compile(r"(?<=\S)(?=\s)")
 class Layout:
     """One document as token offsets."""
 
-    def __init__(self, text: str, ids: np.ndarray, lengths: np.ndarray, ranks: dict[bytes, int]):
-        self.raw, self.n, self.ranks = text.encode("utf-8", "surrogatepass"), len(ids), ranks
+    def __init__(self, text: str, ids: np.ndarray, lengths: np.ndarray):
+        self.raw, self.n = text.encode("utf-8", "surrogatepass"), len(ids)
         self.start = np.concatenate([[0], np.cumsum(lengths[ids])])
         char_bytes = np.fromiter((len(c.encode("utf-8", "surrogatepass")) for c in text), np.int64, len(text))
         self.char_at = np.concatenate([[0], np.cumsum(char_bytes)])
@@ -53,16 +54,9 @@ class Layout:
         i = np.searchsorted(self.start, at)
         return sorted(set(i[(i <= self.n) & (self.start[np.minimum(i, self.n)] == at)].tolist()))
 
-    def alone(self, a: int, b: int, words: list[int]) -> int:
-        """Tokens of the piece's text on its own: its cut first word and last word may be encoded otherwise."""
-        first = words[bisect_right(words, a)] if bisect_right(words, a) < len(words) else self.n
-        first = min(first, b)
-        own = len(bpe(self.raw[self.start[a]:self.start[first]], self.ranks)) if first - a < 4096 else first - a
-        return max(b - a, own + (b - first))
-
     def end_from(self, a: int, limit: int) -> tuple[int, str]:
         """Where a piece that begins at token ``a`` ends, and at what."""
-        most = a + limit - max(0, self.alone(a, min(self.n, a + limit), self.words) - limit)
+        most = a + limit
         if most >= self.n:
             return self.n, "end"
         half = a + limit // 2
@@ -103,17 +97,16 @@ def split_long(df: DataFrame, id_col: str, text_col: str, limit: int = 1024, ove
     may = df.where(F.octet_length(text_col) > limit).select(id_col, text_col)
     long = encode(may, id_col, text_col, path, with_hash=True).where(F.size("ids") > limit)
     texts = may.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text")).distinct()
-    shared = df.sparkSession.sparkContext.broadcast(load_ranks(path))
+    sizes = np.zeros(max((ranks := load_ranks(path)).values()) + 1, np.int32)
+    for token, rank in ranks.items():
+        sizes[rank] = len(token)
+    shared = df.sparkSession.sparkContext.broadcast(sizes)  # a number per token of the vocabulary
 
     @F.pandas_udf(f"array<struct<{', '.join(x.replace(' ', ':', 1) for x in PIECE.split(', '))}>>")
     def cut(texts: pd.Series, ids: pd.Series) -> pd.Series:
-        ranks = shared.value
-        lengths = np.zeros(max(ranks.values()) + 1, np.int64)
-        for piece, rank in ranks.items():
-            lengths[rank] = len(piece)
         out = []
         for text, tokens in zip(texts, ids):
-            x = Layout(text, np.asarray(tokens, np.int64), lengths, ranks)
+            x = Layout(text, np.asarray(tokens, np.int64), shared.value)
             out.append([
                 {"piece_no": i, "start_token": a, "n_tokens": b - a, "cut": kind, "text": x.raw[x.start[a]:x.start[b]].decode("utf-8", "replace")}
                 for i, (a, b, kind) in enumerate(x.pieces(limit, overlap))
