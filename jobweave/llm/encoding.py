@@ -32,6 +32,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
 MAPS = 8_192
 LONG_WORD = 48
+WORDS_PER_TASK = 20_000
 
 
 @lru_cache(maxsize=4)
@@ -58,38 +59,44 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def rank_of(pieces_hex: Column, path: str) -> Column:
+def _rank_map(path: str) -> Column:
+    return F.from_json(F.lit(_rank_json(path)), "array<map<string,int>>")  # folded to a literal
+
+
+def _rank(ranks: Column, piece: Column) -> Column:
     """The rank of one byte string, given in hex; null if it is no token."""
-    ranks = F.from_json(F.lit(_rank_json(path)), "array<map<string,int>>")  # folded to a literal
-    return ranks[(F.crc32(pieces_hex.cast("binary")) % MAPS).cast("int")][pieces_hex]
+    return ranks[(F.crc32(piece.cast("binary")) % MAPS).cast("int")][piece]
 
 
 def fold_word(word: Column, path: str) -> Column:
-    """array<int>: the token ids of one word, by merging the pair of lowest rank until none is left."""
+    """array<int>: the token ids of one word, by merging the pair of lowest rank until none is left.
+
+    The rank map is bound once to a name, since plans, and all that keeps their text, would else hold it at every use.
+    """
+    return _let(_rank_map(path), lambda ranks: _let(F.hex(word.cast("binary")), lambda h: _fold_hex(h, ranks)))
+
 
+def _fold_hex(h: Column, ranks: Column) -> Column:
     def merge(state: Column, _: Column) -> Column:
-        def with_ranks(ranks: Column) -> Column:
-            best = F.array_min(ranks)
-            p = state["p"]
+        p = state["p"]
+
+        def with_ranks(found: Column) -> Column:
+            best = F.array_min(found)
 
             def at(i: Column) -> Column:
                 merged = F.concat(F.slice(p, 1, i - 1), F.array(F.concat(p[i - 1], p[i])), F.slice(p, i + 2, F.size(p)))
                 return F.struct(merged.alias("p"), (F.size(p) > 2).alias("live"))
 
-            return F.when(best.isNull(), F.struct(p.alias("p"), F.lit(False).alias("live"))).otherwise(_let(F.array_position(ranks, best).cast("int"), at))
+            return F.when(best.isNull(), F.struct(p.alias("p"), F.lit(False).alias("live"))).otherwise(_let(F.array_position(found, best).cast("int"), at))
 
-        p = state["p"]
-        pairs = F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda i: rank_of(F.concat(p[i], p[i + 1]), path))
+        pairs = F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda i: _rank(ranks, F.concat(p[i], p[i + 1])))
         return F.when(~state["live"], state).otherwise(_let(pairs, with_ranks))
 
-    def from_hex(h: Column) -> Column:
-        n = (F.length(h) / 2).cast("int")
-        pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substr(h, i * 2 + 1, F.lit(2)))
-        start = F.struct(pieces.alias("p"), (n > 1).alias("live"))
-        folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, merge, lambda s: F.transform(s["p"], lambda x: rank_of(x, path)))
-        return _let(rank_of(h, path), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
-
-    return _let(F.hex(word.cast("binary")), from_hex)
+    n = (F.length(h) / 2).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substr(h, i * 2 + 1, F.lit(2)))
+    start = F.struct(pieces.alias("p"), (n > 1).alias("live"))
+    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, merge, lambda s: F.transform(s["p"], lambda x: _rank(ranks, x)))
+    return _let(_rank(ranks, h), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
 
 
 def bpe(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -132,6 +139,8 @@ def dictionary(words: DataFrame, path: str) -> DataFrame:
     short = F.octet_length("word") <= LONG_WORD
     distinct = words.where("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("times"))
     distinct = checkpointed(distinct)
+    # a word costs far more than its bytes tell, so tasks are cut by words, not by bytes
+    distinct = distinct.repartition(max(2 * words.sparkSession.sparkContext.defaultParallelism, -(-distinct.count() // WORDS_PER_TASK)))
     ids = distinct.where(short).withColumn("ids", fold_word(F.col("word"), path))
     return checkpointed(ids.unionByName(distinct.where(~short).withColumn("ids", long_word("word"))))
 

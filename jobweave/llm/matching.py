@@ -181,5 +181,7 @@ def map_values(values: DataFrame, reference: Sequence[tuple[int, str, str, Seque
         return pd.Series([by[k].meant(t) if k in by else -1 for k, t in zip(kinds, texts)], dtype="int64")
 
     distinct = asked.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("times"))
+    # a search costs far more than a value's bytes tell, so AQE should not join small partitions here
+    distinct = distinct.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), "value")
     known = checkpointed(distinct.withColumn("ref_id", meant("kind", "value")))
     return lookup_join(asked, known, ["kind", "value"], F.octet_length("value") + 64, spread)

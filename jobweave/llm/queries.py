@@ -90,7 +90,7 @@ def _currency():
 def p7_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact percentiles of the monthly minimum per currency; currencies that are not stated are one group."""
     summary = percentiles.summarise(_offers(spark, sf_dir), [_currency()], "normalized_monthly_min")
-    return percentiles.percentiles(summary, ["currency"], FRACTIONS)
+    return percentiles.percentiles(summary, ["currency"], FRACTIONS).withColumn("value", F.col("value").cast("double"))
 
 
 def p7_merged_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +173,7 @@ WITH asked AS (
 counted AS (SELECT currency, value, count(*) AS c FROM asked GROUP BY ALL),
 running AS (
   SELECT *, sum(c) OVER (PARTITION BY currency ORDER BY value) AS upto, sum(c) OVER (PARTITION BY currency) AS n FROM counted)
-SELECT currency, fraction, min(value) AS value, any_value(n)::BIGINT AS n, 0.0::DOUBLE AS relative_error
+SELECT currency, fraction, min(value)::DOUBLE AS value, any_value(n)::BIGINT AS n, 0.0::DOUBLE AS relative_error
 FROM running, (SELECT unnest([0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99])::DOUBLE AS fraction)
 WHERE upto >= greatest(ceil(fraction * n - 1e-9), 1) GROUP BY currency, fraction
 """
