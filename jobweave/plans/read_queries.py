@@ -141,13 +141,13 @@ def categories_pct(spark, d):
 _TIDY = "upper(trim(currency))"
 
 
-@query(f"""SELECT {_TIDY} AS currency, period, count(*) AS n, min(amount_min) AS lowest, max(amount_max) AS highest,
+@query(f"""SELECT {_TIDY} AS currency, period, count(*) AS n, CAST(min(amount_min) AS DOUBLE) AS lowest, CAST(max(amount_max) AS DOUBLE) AS highest,
 round(avg(CAST(amount_min + amount_max AS DOUBLE) / 2), 4) AS mean_mid, round(median(CAST(amount_min + amount_max AS DOUBLE) / 2), 4) AS median_mid, count(*) > 1 AS meaningful
 FROM job_search_salary_offers WHERE amount_min IS NOT NULL AND amount_max IS NOT NULL GROUP BY ALL""")
 def salary_by_currency(spark, d):
     mid = ((F.col("amount_min") + F.col("amount_max")).cast("double") / 2)
     return offers(spark, d).where("amount_min IS NOT NULL AND amount_max IS NOT NULL").groupBy(F.upper(F.trim("currency")).alias("currency"), "period").agg(
-        F.count(F.lit(1)).alias("n"), F.min("amount_min").alias("lowest"), F.max("amount_max").alias("highest"), F.round(F.avg(mid), 4).alias("mean_mid"),
+        F.count(F.lit(1)).alias("n"), F.min("amount_min").cast("double").alias("lowest"), F.max("amount_max").cast("double").alias("highest"), F.round(F.avg(mid), 4).alias("mean_mid"),
         F.round(F.median(mid), 4).alias("median_mid"), (F.count(F.lit(1)) > 1).alias("meaningful"))
 
 
