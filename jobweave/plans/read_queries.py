@@ -278,6 +278,17 @@ def tokenize_jaccard(spark, d):
     return jobs(spark, d).where(ascii_only).select("record_index", F.round(share.cast("double"), 4).alias("share"))
 
 
+_WORDS = r"list_filter(string_split(coalesce(regexp_replace(" + _PLAIN + r", '[^\p{{L}}\p{{N}}_]+', ' ', 'g'), ''), ' '), lambda x: x <> '')"
+
+
+@query(f"""WITH k AS (SELECT record_index, {_WORDS.format('company_industry')} AS a, {_WORDS.format('seniority')} AS b FROM job_postings_gold_template)
+SELECT record_index, round(coalesce(len(list_distinct(list_intersect(a, b)))::DOUBLE / nullif(len(list_distinct(list_concat(a, b))), 0), 0), 4) AS share FROM k""")
+def tokenize_jaccard_all(spark, d):
+    """``tokenize_jaccard`` over every posting, whatever letters and digits it has."""
+    share = tx.jaccard(tx.tokens(F.col("company_industry")), tx.tokens(F.col("seniority")))
+    return jobs(spark, d).select("record_index", F.round(share.cast("double"), 4).alias("share"))
+
+
 @query(r"""SELECT record_index, nullif(regexp_extract(regexp_replace(source_url, '[?#].*$', ''), '[-/](\d+)[^0-9]*$', 1), '') AS job_id,
 coalesce(regexp_matches(source_url, '^[hH][tT][tT][pP][sS]?://[^/?#]+'), false) AS valid FROM job_postings_gold_template""")
 def url_parts(spark, d):
