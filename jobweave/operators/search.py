@@ -83,7 +83,7 @@ def rank(query: str | None, classes: dict[str, str]) -> Column:
             if not term.negated:
                 for k, c in classes.items():
                     out = out + F.when(_has(F.col(c), term), WEIGHTS[k]).otherwise(0.0)
-    return out
+    return F.round(out, 6)  # else equal sums, added in another order, would not tie
 
 
 def serving_documents(jobs: DataFrame) -> DataFrame:

@@ -67,6 +67,20 @@ def search_jobs_page(spark, d):
     return search_jobs(docs, "engineer python -senior").select("record_index", F.round("score", 4).alias("score"), "total_count")
 
 
+_SPLIT = r"coalesce(list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}+#]+'), lambda w: w <> ''), [])"
+_ANY = "({0})".format(" OR ".join(f"list_contains({c}, '{{0}}')" for c in "abcd"))
+_RANK = " + ".join(f"CASE WHEN list_contains({c}, '{w}') THEN {search.WEIGHTS[c]} ELSE 0 END" for w in ("engineer", "python") for c in "abcd")
+
+
+@query(_DOCS + f""", texts AS (SELECT record_index, posted_at, coalesce(a, []) AS a, coalesce(b, []) AS b, {_SPLIT.format("concat_ws(' ', company_name, location_raw)")} AS c, {_SPLIT.format('description_raw')} AS d FROM docs),
+hits AS (SELECT *, {_RANK} AS score FROM texts WHERE {_ANY.format('engineer')} AND {_ANY.format('python')} AND NOT {_ANY.format('senior')})
+SELECT record_index, round(score, 4) AS score, count(*) OVER () AS total_count FROM hits ORDER BY hits.score DESC, posted_at DESC NULLS LAST, record_index LIMIT 20""")
+def search_jobs_fulltext(spark, d):
+    """Documents that have engineer and python but not senior, in title, skills, company and place or the whole description."""
+    docs = search.serving_documents(jobs(spark, d))
+    return search_jobs(docs, "engineer python -senior").select("record_index", F.round("score", 4).alias("score"), "total_count")
+
+
 @query(_DOCS + """SELECT record_index FROM docs WHERE work_mode IN ('remote', 'hybrid') AND list_has_any(skills_raw, ['Python', 'Java']) AND is_active ORDER BY posted_at ASC NULLS LAST, record_index LIMIT 50""")
 def search_jobs_filtered(spark, d):
     docs = search.serving_documents(jobs(spark, d))
