@@ -8,8 +8,11 @@ Weights follow a strict order of belief (trust rank, then latest, then smallest
 ``dominant`` each value weighs more than all less believed ones together, so that the consensus is
 the most believed usable value; otherwise a value's weight is the sum of its holders' trust weights.
 
-A group of any size is voted in two rounds: values are spread over CHUNKS by hash, and the chunks'
-survivors vote again, so no task sees a whole hot group. Equal values are merged before either round.
+A group of any size is voted in two rounds: values are spread over CHUNKS by hash. With ``dominant`` the
+chunks' survivors vote again: the most believed value wins its chunk and the group. In the open vote a
+chunk hands on all its votes, as values up to HANDED, else as the columns of their alignment with the
+summed weight of every token; the columns of all are aligned and voted, and every value's distance to
+the outcome is taken in its chunk. Equal values are merged before either round.
 
 Defined results: null, blank and filler values are not usable; a field without a usable value has no
 row; members listed twice count once, with their best trust; members without a record are left out; a
@@ -18,13 +21,17 @@ group of no known member has no row; equal records are ordered by all their fiel
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobweave.session import checkpointed
+
 CHUNKS = 1_024
+HANDED = 32  # values of a chunk that go on as they are
 # Texts that say only that a value is unknown, pending or withheld (lower case, no accents or marks).
 FILLERS = [
     "n a", "na", "none", "null", "nil", "nan", "unknown", "undefined", "unspecified", "not specified", "not available", "not applicable", "not provided",
@@ -103,6 +110,89 @@ def survivor(values: Sequence[str], weights: Sequence[float]) -> int:
     return min(range(len(values)), key=lambda i: (distance(tokens[i], voted), i))
 
 
+Profile = tuple[float, list[dict[str, float]]]  # the weight of all values, and by column the weight of each token; "" is a gap
+
+
+def profile(value: str, weight: float) -> Profile:
+    return weight, [{t: weight} for t in value.split()]
+
+
+def merged(a: Profile, b: Profile) -> Profile:
+    """The columns of both aligned, by the costs of ``align``; every column keeps the weight of all values. ``a`` is used up."""
+    (x, left), (y, right) = a, b
+    m, n = len(left), len(right)
+    gain = [[0.0 if (c.keys() & d.keys()) - {""} else 1.5 for d in right] for c in left]
+    cost = [[float(i + j) for j in range(n + 1)] for i in range(m + 1)]
+    for i in range(1, m + 1):
+        for j in range(1, n + 1):
+            cost[i][j] = min(cost[i - 1][j - 1] + gain[i - 1][j - 1], cost[i - 1][j] + 1, cost[i][j - 1] + 1)
+
+    def put(column: dict[str, float], more: dict[str, float]) -> dict[str, float]:
+        for t, w in more.items():
+            column[t] = column.get(t, 0.0) + w
+        return column
+
+    out, i, j = [], m, n
+    while i or j:
+        if i and j and cost[i][j] == cost[i - 1][j - 1] + gain[i - 1][j - 1]:
+            i, j = i - 1, j - 1
+            out.append(put(left[i], right[j]))
+        elif i and cost[i][j] == cost[i - 1][j] + 1:
+            i -= 1
+            out.append(put(left[i], {"": y}))
+        else:
+            j -= 1
+            out.append(put({"": x}, right[j]))
+    return x + y, out[::-1]
+
+
+def profile_of(items: Sequence[Profile]) -> Profile:
+    """All of them merged, in their order."""
+    whole = items[0]
+    for item in items[1:]:
+        whole = merged(whole, item)
+    return whole
+
+
+def voted(whole: Profile) -> list[str]:
+    """The token of most weight of every column, without gaps; sums that differ by their rounding tie, and the first seen wins."""
+    best = [max(column, key=lambda t: round(column[t], 9)) for column in whole[1]]
+    return [t for t in best if t]
+
+
+def _open_vote(values: DataFrame) -> DataFrame:
+    """(cluster, field, value, belief, weight) -> (cluster, field, value, belief): each group's value closest to the vote of all."""
+    keys = ["cluster", "field"]
+
+    @F.pandas_udf("string")
+    def packed(values: pd.Series, weights: pd.Series) -> pd.Series:
+        return pd.Series([json.dumps(profile_of([profile(x, y) for x, y in zip(v, w)])) for v, w in zip(values, weights)])
+
+    @F.pandas_udf("array<string>")
+    def vote(values: pd.Series, weights: pd.Series, profiles: pd.Series) -> pd.Series:
+        return pd.Series([voted(profile_of([profile(x, y) if p is None else tuple(json.loads(p)) for x, y, p in zip(v, w, ps)])) for v, w, ps in zip(values, weights, profiles)])
+
+    @F.pandas_udf("array<int>")
+    def closest(values: pd.Series, outcomes: pd.Series) -> pd.Series:
+        return pd.Series([min((distance(x.split(), list(o)), i) for i, x in enumerate(v)) for v, o in zip(values, outcomes)])
+
+    of = lambda column, part: F.transform(column, lambda x: x[part])
+    chunk = F.pmod(F.xxhash64("value"), F.lit(CHUNKS)).alias("chunk")
+    chunks = checkpointed(values.groupBy(*keys, chunk).agg(F.array_sort(F.collect_list(F.struct("belief", "value", "weight"))).alias("v")))
+    few, many = chunks.where(F.size("v") <= HANDED), chunks.where(F.size("v") > HANDED)
+    handed = few.select(*keys, F.explode("v").alias("x")).select(*keys, "x.*", F.lit(None).cast("string").alias("profile"))
+    handed = handed.unionByName(many.select(
+        *keys, F.col("v")[0]["belief"].alias("belief"), F.lit(None).cast("string").alias("value"), F.lit(None).cast("double").alias("weight"), packed(of("v", "value"), of("v", "weight")).alias("profile")))
+    groups = handed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("belief", "value", "weight", "profile"))).alias("x"))
+    alone = (F.size("x") == 1) & F.col("x")[0]["profile"].isNull()
+    lone = groups.where(alone).select(*keys, F.col("x")[0]["value"].alias("value"), F.col("x")[0]["belief"].alias("belief"))
+    outcome = groups.where(~alone).select(*keys, vote(of("x", "value"), of("x", "weight"), of("x", "profile")).alias("outcome"))
+    asked = chunks.select(*keys, "chunk").join(outcome, keys)  # by chunk, so that a hot group's values stay apart
+    near = chunks.join(asked, [*keys, "chunk"]).withColumn("at", closest(of("v", "value"), F.col("outcome")))
+    nearest = near.groupBy(*keys).agg(F.min(F.struct(F.col("at")[0].alias("distance"), F.col("v")[F.col("at")[1]]["belief"].alias("belief"), F.col("v")[F.col("at")[1]]["value"].alias("value"))).alias("m"))
+    return lone.unionByName(nearest.select(*keys, "m.value", "m.belief"))
+
+
 def _round(rows: DataFrame, keys: Sequence[str], dominant: bool) -> DataFrame:
     """(keys, value, belief, weight) -> one survivor per group of ``keys``; lone values skip Python."""
 
@@ -137,6 +227,8 @@ def survivors(rows: DataFrame, fields: Sequence[str], dominant: bool = True) ->
     cells = cells.select("cluster", "belief", "c.field", "c.value").where(usable(F.col("value")))
     weight = F.lit(1.0) / F.least(F.col("belief.rank"), F.lit(1000))
     values = cells.groupBy("cluster", "field", "value").agg(F.min("belief").alias("belief"), F.sum(weight).alias("weight"))
+    if not dominant:
+        return _open_vote(values).select("cluster", "field", F.col("belief.member").alias("member"), "value")
     chunked = _round(values.withColumn("chunk", F.pmod(F.xxhash64("value"), F.lit(CHUNKS))), ["cluster", "field", "chunk"], dominant)
     final = _round(chunked, ["cluster", "field"], dominant)
     return final.select("cluster", "field", F.col("belief.member").alias("member"), "value")
