@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobweave.operators import pipeline, skills, timestamps
@@ -61,6 +62,25 @@ def jsonld_extract(spark, d):
     return found.select("page_id", "title_raw", "company_name_raw", "experience_raw")
 
 
+def posting_block() -> Column:
+    """The html of a page of ``job_jsonld_pages``: all its schema.org fields in one JSON-LD block; what is null is left out."""
+    given = lambda c, block: F.when(F.col(c).isNotNull(), block)
+    body = F.to_json(F.struct(
+        F.lit("JobPosting").alias("@type"), "title", F.col("dateposted").alias("datePosted"), F.col("validthrough").alias("validThrough"), F.col("employmenttype").alias("employmentType"), "skills", "identifier",
+        given("hiringorganization", F.struct(F.col("hiringorganization.name").alias("name"))).alias("hiringOrganization"),
+        given("basesalary", F.struct(F.col("basesalary.currency").alias("currency"), F.struct(F.col("basesalary.amount").alias("value"), F.col("basesalary.unittext").alias("unitText")).alias("value"))).alias("baseSalary"),
+        given("joblocation", F.struct(F.struct(F.col("joblocation.addresslocality").alias("addressLocality"), F.col("joblocation.addressregion").alias("addressRegion")).alias("address"))).alias("jobLocation"),
+        given("monthsofexperience", F.struct(F.col("monthsofexperience").alias("monthsOfExperience"))).alias("experienceRequirements")))
+    return F.concat(F.lit('<html><script type="application/ld+json">{"@graph": ['), F.replace(body, F.lit("</"), F.lit("<\\/")), F.lit("]}</script><script type='application/ld+json'>{bad</script></html>"))
+
+
+@query()
+def jsonld_fields(spark, d):
+    """All fields of every page, read back from its html; the table has no descriptions."""
+    p = table(spark, d, "job_jsonld_pages")
+    return pages.posting_fields(pages.postings(p.select("page_id", posting_block().alias("html")), "page_id", "html"), "page_id")
+
+
 def taxonomy_of(spark, d):
     """The reference list's skills: a fixed list."""
     reference = table(spark, d, "ref_items").where("kind = 'skill'").limit(10_000).collect()

@@ -49,7 +49,8 @@ def posting_fields(found: DataFrame, key: str) -> DataFrame:
     skills = F.coalesce(listed, F.split(v("$.skills"), r"\s*[,;|]\s*"))
     places = F.array_distinct(F.filter(F.array(*[v(f"$.jobLocation.address.{p}") for p in ("streetAddress", "addressLocality", "addressRegion", "addressCountry")]), lambda x: x.isNotNull()))
     low, high, one = (F.try_variant_get("posting", f"$.baseSalary.value.{p}", "string") for p in ("minValue", "maxValue", "value"))
-    amount = F.coalesce(F.concat(low, F.lit("-"), high), one, v("$.baseSalary.value"))
+    bare = v("$.baseSalary.value")  # a value that is an object has its parts above
+    amount = F.coalesce(F.concat(low, F.lit("-"), high), low, high, one, F.when(~bare.startswith("{"), bare))
     unit = F.coalesce(v("$.baseSalary.value.unitText"), v("$.baseSalary.unitText"))
     salary = F.when(F.lower(amount).rlike("negotiable|thỏa thuận"), amount).otherwise(F.concat(amount, F.coalesce(F.concat(F.lit(" "), v("$.baseSalary.currency")), F.lit("")), F.coalesce(F.concat(F.lit("/"), F.lower(unit)), F.lit(""))))
     months = F.try_variant_get("posting", "$.experienceRequirements.monthsOfExperience", "int")
