@@ -81,6 +81,21 @@ def dim_upsert(spark, d):
     return after.join(old.select("company_name", F.col("company_key").alias("was")), "company_name", "left").select("company_name", "postings", F.coalesce(F.col("was") == F.col("company_key"), F.lit(False)).alias("kept_key"))
 
 
+ARRIVED = "2026-04-01"  # deliveries before this instant are there, the others come in
+
+
+@query(f"""SELECT company_name, count(*) AS postings, count(*) FILTER (collected_at < TIMESTAMP '{ARRIVED}') > 0 AS kept_key
+FROM job_postings_gold_template WHERE company_name IS NOT NULL GROUP BY company_name""")
+def dim_upsert_arrivals(spark, d):
+    """Companies of the postings collected before an instant, updated by those of later postings with the counts of all."""
+    j = jobs(spark, d).where("company_name IS NOT NULL").select("company_name", F.coalesce(F.col("collected_at") < F.lit(ARRIVED).cast("timestamp_ntz"), F.lit(False)).alias("there"))
+    counted = j.groupBy("company_name").agg(F.count_if("there").alias("before"), F.count_if(~F.col("there")).alias("since"))
+    old = counted.where("before > 0").select("company_name", F.xxhash64("company_name").alias("company_key"), F.col("before").alias("postings"))
+    new = counted.where("since > 0").select("company_name", (F.col("before") + F.col("since")).alias("postings"))
+    after = upsert_dimension(old, new, "company_name", "company_key", ["postings"])
+    return after.join(old.select("company_name", F.col("company_key").alias("was")), "company_name", "left").select("company_name", "postings", F.coalesce(F.col("was") == F.col("company_key"), F.lit(False)).alias("kept_key"))
+
+
 def observations(spark: SparkSession, d: str) -> DataFrame:
     """One fact per delivered snapshot: job, instant, UTC day, state."""
     p = table(spark, d, "topdev_pilot_diagnostic")
@@ -233,3 +248,16 @@ def import_upsert_actions(spark, d):
     action = F.when(F.col("o.source").isNull(), "inserted").when(~F.col("n.h").eqNullSafe(F.col("o.h")), "updated").otherwise("skipped")
     joined = n.join(o, (F.col("n.source") == F.col("o.source")) & (F.col("n.source_job_id") == F.col("o.source_job_id")), "left")
     return joined.groupBy(action.alias("action")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH k AS (SELECT source, source_job_id, max_by({{'h': content_hash}}, {{'t': collected_at, 'i': record_index}}) FILTER (collected_at < TIMESTAMP '{ARRIVED}') AS old,
+  max_by({{'h': content_hash}}, {{'t': coalesce(collected_at, TIMESTAMP '1970-01-01'), 'i': record_index}}) FILTER (NOT coalesce(collected_at < TIMESTAMP '{ARRIVED}', false)) AS new FROM job_postings_gold_template GROUP BY ALL)
+SELECT CASE WHEN new IS NULL THEN 'kept' WHEN old IS NULL THEN 'inserted' WHEN new.h IS DISTINCT FROM old.h THEN 'updated' ELSE 'skipped' END AS action, count(*) AS n FROM k GROUP BY action""")
+def import_arrival_actions(spark, d):
+    """What importing the postings collected since an instant over those from before does to every key."""
+    there = F.coalesce(F.col("collected_at") < F.lit(ARRIVED).cast("timestamp_ntz"), F.lit(False))
+    at = F.struct(F.coalesce("collected_at", F.lit("1970-01-01").cast("timestamp_ntz")), "record_index")
+    last = lambda side: F.max_by(F.struct(F.col("content_hash").alias("h")), F.when(side, at))
+    k = jobs(spark, d).groupBy("source", "source_job_id").agg(last(there).alias("old"), last(~there).alias("new"))
+    action = F.when(F.col("new").isNull(), "kept").when(F.col("old").isNull(), "inserted").when(~F.col("new.h").eqNullSafe(F.col("old.h")), "updated").otherwise("skipped")
+    return k.groupBy(action.alias("action")).agg(F.count(F.lit(1)).alias("n"))
