@@ -126,8 +126,11 @@ def _proposals(t: str) -> Iterator[tuple[str, int, int]]:
         yield "ID_NUMBER", m.start(), m.end()
     for m in PHONE.finditer(t):
         starts = [m.start()]
-        if sum(c.isdigit() for c in m.group()) > 14:  # two numbers with a space between
-            starts += [m.start() + x.start() + 1 for x in re.finditer(r"(?<=\d)[ ](?=[0+(])", m.group()) if sum(c.isdigit() for c in m.group()[:x.start()]) >= 9][:1]
+        if sum(c.isdigit() for c in m.group()) > 14:  # numbers with a space or hyphen between
+            for x in re.finditer(r"(?<=\d)[ \-](?=[0+(])", m.group()):
+                at = m.start() + x.start()
+                if sum(c.isdigit() for c in t[starts[-1]:at]) >= 9 and sum(c.isdigit() for c in t[at:m.end()]) >= 8:
+                    starts.append(at + 1)
         for a, b in zip(starts, [*(x - 1 for x in starts[1:]), m.end()]):
             if 8 <= sum(c.isdigit() for c in t[a:b]) <= 14:
                 yield "PHONE", a, b
@@ -147,7 +150,12 @@ def _proposals(t: str) -> Iterator[tuple[str, int, int]]:
             run = run[1:]
         while len(run) > 2 and plain(run[-1][0]) in SENTENCE_STARTS - GIVEN:
             run = run[:-1]
-        if not run or len(run) > 5:
+        if not run:
+            continue
+        if len(run) > 5:  # a name and what follows it: the votes tell which part
+            for i in range(len(run) - 1):
+                for last in run[i + 1:i + 5]:
+                    yield "NAME", run[i][1], last[2]
             continue
         a, b = run[0][1], run[-1][2]
         led = titled or bool(_TITLE.search(t[max(0, a - 8):a]))
@@ -277,7 +285,7 @@ def find(df: DataFrame, id_col: str, text_col: str, least: float = 0.5) -> DataF
     spans = candidates(df, id_col, text_col)
     scored = spans.withColumn("sure", score(F.col("features"), span_model(spans))).where(F.col("sure") >= least)
     order = F.array_position(F.array(*[F.lit(t) for t in TYPES]), F.col("pii_type"))
-    one = F.struct(order.alias("o"), "a", "b", "pii_type", "sure")
+    one = F.struct(order.alias("o"), (-F.round("sure", 6)).alias("unsure"), (F.col("a") - F.col("b")).alias("short"), "a", "b", "pii_type", "sure")
     found = scored.groupBy("id", "h").agg(F.array_sort(F.array_distinct(F.collect_list(one))).alias("s"))
     kept = F.aggregate(
         "s", F.slice("s", 1, 0),
