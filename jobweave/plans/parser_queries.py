@@ -1,4 +1,4 @@
-"""Field parsers over texts that are written from known values, so that SQL can say what must be read."""
+"""Field parsers: over the texts of the tables, and over texts written from known values where SQL can say what must be read."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from jobweave.operators import parsers
 from jobweave.plans.read_queries import jobs, offers
 from jobweave.session import table
+from jobweave.sources import pages
 
 QUERIES, ORACLE = {}, {}
 
@@ -90,3 +91,48 @@ def work_mode(spark, d):
     fallback = F.when(F.col("record_index") % 4 == 3, "tại văn phòng")
     p = jobs(spark, d).select("record_index", parsers.work_mode(raw, fallback).alias("p"))
     return p.select("record_index", "p.value", "p.conflict")
+
+
+# --- the tables' own texts: SQL cannot say these; tests/test_real_texts.py has cases -----------------
+@query()
+def company_readings(spark, d):
+    """The company of every posting, read from its name."""
+    return jobs(spark, d).select("record_index", parsers.normalise_company(F.col("company_name")).alias("p")).select("record_index", "p.*")
+
+
+@query()
+def location_readings(spark, d):
+    """The place of every posting, read from its location."""
+    return jobs(spark, d).select("record_index", parsers.normalise_location(F.col("location_raw")).alias("p")).select("record_index", "p.*")
+
+
+@query()
+def title_readings(spark, d):
+    """The shown title and the categories of every posting."""
+    title = F.col("title_raw")
+    return jobs(spark, d).select("record_index", parsers.display_title(title).alias("display"), parsers.classify_title(title).alias("p")).select("record_index", "display", "p.*")
+
+
+@query()
+def work_mode_readings(spark, d):
+    """The work mode of every posting: its own field first, then the description."""
+    return jobs(spark, d).select("record_index", parsers.work_mode(F.col("work_mode"), F.col("description_raw")).alias("p")).select("record_index", "p.*")
+
+
+@query()
+def salary_readings(spark, d):
+    """The salary of every posting, read from its text."""
+    return jobs(spark, d).select("record_index", parsers.parse_salary(F.col("salary_raw")).alias("p")).select("record_index", "p.*")
+
+
+@query()
+def experience_readings(spark, d):
+    """The experience that every raw posting asks for, read from its text."""
+    return table(spark, d, "synthetic_jobs").select("record_id", parsers.parse_experience(F.col("experience_raw")).alias("p")).select("record_id", "p.*")
+
+
+@query()
+def closed_state_readings(spark, d):
+    """The state of every posting at its collection: markers in its description, then its expiry."""
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    return jobs(spark, d).select("record_index", pages.closed_state(F.col("description_raw"), us("expires_at"), us("collected_at")).alias("p")).select("record_index", "p.*")
