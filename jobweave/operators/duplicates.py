@@ -22,23 +22,36 @@ from jobweave.functions.text import jaccard
 from jobweave.session import checkpointed
 
 
-def connected(records: DataFrame, id_col: str, keys: Sequence[Column], rounds: int = 50) -> DataFrame:
+def _settled(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed, and without its size estimate: that is a product over all joins, so each round would square it."""
+    spark, done = df.sparkSession, checkpointed(df)
+    return DataFrame(spark._jsparkSession.createDataFrame(done._jdf.toJavaRDD(), done._jdf.schema()), spark)
+
+
+def connected(records: DataFrame, id_col: str, keys: Sequence[Column]) -> DataFrame:
     """(id, component): smallest id among the records reachable over equal keys; hub labels spread through the keys.
 
-    Each round takes, over keys, the smallest label per key, and back. Aggregations combine on the
-    map side, so a key of a third of all rows is no larger task than others.
+    Each round takes, over keys, the smallest label per key, and back; a record hands what it sees to the
+    record it is labelled by, and labels then skip to their labels' labels, so that long chains take few
+    rounds. Rounds go on until no label moves. Aggregations combine on the map side, so a key of a third
+    of all rows is no larger task than others.
     """
-    edges = checkpointed(
-        records.select(F.col(id_col).alias("id"), F.explode(F.array(*[F.when(k.isNotNull(), F.concat(F.lit(f"{i}|"), k)) for i, k in enumerate(keys)])).alias("key")).where("key IS NOT NULL").distinct())
-    labels = records.select(F.col(id_col).alias("id"), F.col(id_col).alias("component")).distinct()
-    for _ in range(rounds):
+    keyed = records.select(F.col(id_col).alias("id"), F.explode(F.array(*[F.when(k.isNotNull(), F.concat(F.lit(f"{i}|"), k)) for i, k in enumerate(keys)])).alias("key")).where("key IS NOT NULL")
+    shared = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("key")  # other keys connect nothing
+    edges = checkpointed(keyed.join(shared, "key"))
+    labels = edges.select("id", F.col("id").alias("component")).distinct()
+    while True:
         by_key = edges.join(labels, "id").groupBy("key").agg(F.min("component").alias("component"))
         seen = edges.join(by_key, "key").groupBy("id").agg(F.min("component").alias("least"))
-        after = checkpointed(labels.join(seen, "id", "left").select("id", F.least("component", F.coalesce("least", "component")).alias("component"), (F.col("least") < F.col("component")).alias("moved")))
+        now = labels.join(seen, "id", "left").select("id", "component", F.least("component", F.coalesce("least", "component")).alias("least"))
+        news = now.where("least < component")
+        told = news.select(F.col("component").alias("id"), "least").groupBy("id").agg(F.min("least").alias("told"))
+        hooked = _settled(now.join(told, "id", "left").select("id", F.col("component").alias("was"), F.least("least", F.coalesce("told", "least")).alias("component")))
+        up = hooked.where("id <> component").select(F.col("id").alias("component"), F.col("component").alias("up"))  # labels that have a smaller label themselves
+        after = _settled(hooked.join(up, "component", "left").select("id", F.coalesce("up", "component").alias("component"), (F.coalesce("up", "component") < F.col("was")).alias("moved")))
         labels = after.select("id", "component")
         if after.where("moved").isEmpty():
-            return labels
-    return labels
+            return records.select(F.col(id_col).alias("id")).distinct().join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
 def classes(prints: DataFrame) -> DataFrame:

@@ -29,8 +29,8 @@ e AS (SELECT DISTINCT x.id AS a, y.id AS b FROM k x JOIN k y USING (key)),
 r AS (SELECT record_index AS id, record_index AS reach FROM job_postings_gold_template UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.reach)
 SELECT id AS record_index, min(reach) AS component FROM r GROUP BY id""")
 def exact_duplicate_components(spark, d):
-    j = jobs(spark, d).select("record_index", "source", "source_job_id", "content_hash")
-    keys = [F.when(F.col("source").isNotNull() & F.col("source_job_id").isNotNull(), F.concat_ws("\u001f", "source", "source_job_id")), F.col("content_hash")]
+    j = jobs(spark, d).select("record_index", "source", "source_job_id", "source_url", "content_hash")
+    keys = [F.when(F.col("source").isNotNull() & F.col("source_job_id").isNotNull(), F.concat_ws("\u001f", "source", "source_job_id")), F.col("content_hash"), tx.comparison_key(F.col("source_url"))]
     return dup.connected(j, "record_index", keys).withColumnRenamed("id", "record_index")
 
 
