@@ -18,15 +18,34 @@ def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "synthetic_jobs").select("record_id", "description_raw")
 
 
+def reference_rows(spark: SparkSession, sf_dir: str, most: int = 100_000) -> list:
+    """The reference list, which does not grow with the data; raises where it is no such list."""
+    rows = table(spark, sf_dir, "ref_items").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"the reference list is meant to be a fixed list of at most {most} entries")
+    return rows
+
+
+def _things(spark: SparkSession, sf_dir: str) -> set[str]:
+    """The words of all titles and skills of the reference list: no part of a person's name."""
+    names = [n for r in reference_rows(spark, sf_dir) if r.kind in ("title", "skill") for n in (r.canonical_name, *(r.aliases or ())) if n]
+    return {w for n in names for w in matching.words(n) if len(w) > 1}
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = pii.find(_described(spark, sf_dir), "record_id", "description_raw")
+    spans = pii.find(_described(spark, sf_dir), "record_id", "description_raw", things=_things(spark, sf_dir))
     return spans.select(F.col("id").alias("record_id"), "pii_type", F.col("a").alias("span_start"))
 
 
 def p1_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every description with typed placeholders."""
     texts = _described(spark, sf_dir)
-    return pii.redact(texts, "record_id", "description_raw", pii.find(texts, "record_id", "description_raw"))
+    return pii.redact(texts, "record_id", "description_raw", pii.find(texts, "record_id", "description_raw", things=_things(spark, sf_dir)))
+
+
+def p1_labelers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each labeler said over all descriptions, and its estimated reliability."""
+    return pii.labelers(_described(spark, sf_dir), "record_id", "description_raw", _things(spark, sf_dir))
 
 
 def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +79,7 @@ def p3_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = table(spark, sf_dir, "job_postings_gold_template").select("record_index", "location_raw", "title_raw", "skills_raw")
-    reference = [(r.ref_id, r.kind, r.canonical_name, r.aliases) for r in table(spark, sf_dir, "ref_items").limit(100_001).collect()]
-    if len(reference) > 100_000:
-        raise ValueError("the reference list is meant to be a fixed list of at most 100,000 entries")
+    reference = [(r.ref_id, r.kind, r.canonical_name, r.aliases) for r in reference_rows(spark, sf_dir)]
     one = lambda field, kind: F.array(F.struct(F.lit(field).alias("field_name"), F.lit(kind).alias("kind"), F.lit(0).alias("value_no"), F.col(field).alias("value")))
     skills = F.transform(
         F.coalesce("skills_raw", F.array().cast("array<string>")),
@@ -138,7 +155,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p1_found": p1_found, "p1_redacted": p1_redacted, "p3_found": p3_found, "p3_golden": p3_golden, "p3_vote": p3_vote, "p5_found": p5_found, "p5_report": p5_report,
+    "p1_found": p1_found, "p1_redacted": p1_redacted, "p1_labelers": p1_labelers, "p3_found": p3_found, "p3_golden": p3_golden, "p3_vote": p3_vote, "p5_found": p5_found, "p5_report": p5_report,
     "p7_percentiles": p7_percentiles, "p7_merged_days": p7_merged_days, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip,
     "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pieces": p10_pieces,
 }
