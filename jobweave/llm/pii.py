@@ -382,6 +382,11 @@ class Reader:
         return out
 
 
+def spans_of(text: str) -> list[dict]:
+    """Proposed spans of one text, read without a reference list."""
+    return Reader(remembered=0).spans_of(text)
+
+
 #: What a labeler is taken to be before any count: its (no, abstain, yes) votes on real and on other spans.
 PRIOR_REAL, PRIOR_OTHER = np.array([0.03, 0.47, 0.5]), np.array([0.4, 0.57, 0.03])
 
