@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,7 +58,7 @@ java python javascript typescript spring boot react native angular vue node next
 google cloud platform apache spark kafka airflow hadoop snowflake power bi tableau oracle database sql mysql mongodb redis php ruby scala kotlin swift rust go flutter
 site reliability quality assurance machine learning technical support project product business data backend frontend fullstack mobile security network system
 monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october november december
-english japanese korean german french id citizen passport cccd cmnd cmt ssn hotline zalo tel phone email mail fax road street avenue drive lane boulevard ward district phuong quan""".split())
+english japanese korean german french su id citizen passport cccd cmnd cmt ssn hotline zalo tel phone email mail fax road street avenue drive lane boulevard ward district phuong quan""".split())
 PLACES = {"ha noi", "ho chi minh", "da nang", "can tho", "hai phong", "binh duong", "dong nai", "bac ninh", "hung yen", "quang ninh", "khanh hoa", "lam dong",
           "thua thien hue", "nghe an", "thanh hoa", "vinh phuc", "hai duong", "thai nguyen", "long an", "ba ria", "vung tau", "binh dinh", "quang nam", "gia lai",
           "dak lak", "kien giang", "tay ninh", "nam dinh", "phu tho", "sai gon", "nha trang", "da lat", "quy nhon", "viet nam", "singapore", "tokyo", "new york", "london", "berlin", "paris"}
@@ -68,6 +68,9 @@ gap goi cam lien ho nguoi mentor truong khi voi trong moi ngoai cung doi tai the
 bitte fragen kontaktieren rufen senden der die das den dem ein eine sie ihnen wir uns la le les nous vous il elle herzliche liebe lieber hallo mit bei von unser unsere ihr ihre contactez appelez ecrivez bonjour merci cher chere avec notre votre pour madame""".split())
 #: Sentence starts that are names as well.
 NAMES_TOO = set("truong ho lien dia so to tu ban sap hi don mai".split())
+_NO_NAME = SENTENCE_STARTS - NAMES_TOO
+
+_PLACE = re.compile("|".join(sorted(PLACES, key=len, reverse=True)))
 
 _CAP = "".join(c for c in map(chr, [*range(0x41, 0x5B), *range(0xC0, 0x250), *range(0x1E00, 0x1F00)]) if unicodedata.category(c) == "Lu")
 _LAT = r"A-Za-zÀ-ɏḀ-ỿ"
@@ -85,7 +88,6 @@ _STREET_NAME = r"(?i:straße|strasse|str\.|weg|gasse|allee|platz|ring|damm|ufer|
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]*\s?(?:@|[(\[{]\s?(?:at|AT)\s?[)\]}])\s?[A-Za-z0-9\-]+(?:(?:\.|\s?[(\[{]\s?(?:dot|DOT)\s?[)\]}]\s?)[A-Za-z0-9\-]+)+")
 PHONE = re.compile(r"(?<![A-Za-z0-9_+#@])(?<!\d[.,/\-:])(?:\(\+?\d{1,4}\)|\+?\d)(?:[ .\-]?(?:\(\d{1,4}\)|\d))+(?![A-Za-z0-9_])")
 ID = re.compile(r"(?<![A-Za-z0-9_\-.#/+])(?:[A-Z][ ]?\d{7,8}|\d{3}[ \-]\d{2}[ \-]\d{4}|\d{4}([ .\-])\d{4}\1\d{4}|\d{3}[ .\-]?\d{3}[ .\-]?\d{3}(?:[ .\-]?\d{3})?)(?![A-Za-z0-9_\-/]|[.,]\d)")
-_ROADS = re.compile(_ROAD)
 ADDRESSES = [re.compile(p) for p in (
     rf"(?<![\w/.,\-]){_NO},?[ ]+(?:{_LANE}[ ]+[\d/]+[A-Za-z]?,?[ ]+)*{_ROAD}[ ]+{_WS}{_TAIL}",
     rf"(?<!\w){_LANE}[ ]+[\d/]+[A-Za-z]?,?[ ]+(?:{_ROAD}[ ]+)?{_WS}{_TAIL}",
@@ -97,6 +99,8 @@ ADDRESSES = [re.compile(p) for p in (
     rf"(?<![\w/.,\-])(?:{_W}[ ]){{0,2}}{_W}[ ]\d{{1,4}}[a-z]?,[ ]?{_POST}",
     rf"(?<![\w/.,\-])\d{{1,4}}(?:[ ]?(?:bis|ter))?,?[ ]{_FR}[ ](?:(?:de|du|des|la|le|l'|d')[ ]?){{0,3}}{_WS}(?:[ ]*,[ ]*(?:{_POST}|{_WS}))*",
 )]
+#: What every one of them needs.
+_HOUSE = re.compile(rf"\d[\d/]*[A-Za-z]?(?:[ ]?(?:bis|ter))?,?[ ]+(?:[{_CAP}]|{_LANE}|{_ROAD}|{_FR})|{_LANE}[ ]+\d|{_ROAD}[ ]+[{_CAP}]|[{_CAP}][{_LAT}'’]*[ ]\d{{1,4}}[a-z]?,")
 _HONORIFIC = re.compile(r"^(?:Mr|Ms|Mrs|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Mlle|Anh|Chị|Ông|Bà|Cô|Chú|Thầy|Em)$")
 CJK_NAME = re.compile(r"[一-鿿々]{1,3}[ 　][一-鿿々ぁ-ゖァ-ヺ]{1,4}?(?=さん|様|氏)|(?<![一-鿿々])[一-鿿々]{1,3}[ 　][一-鿿々ぁ-ゖァ-ヺ]{1,4}(?![一-鿿々ぁ-ゖァ-ヺ])|(?<![一-鿿々ぁ-ゖァ-ヺ])[一-鿿々]{2,6}(?![一-鿿々ぁ-ゖァ-ヺ])|[一-鿿々]{2,5}(?=さん|様|氏)")
 _PART = rf"[{_CAP}](?:\.(?=\s?[{_CAP}])|[{_LAT}'’\-]*)"
@@ -145,7 +149,7 @@ def plain(text: str) -> str:
     return text.translate(_BASES)
 
 
-_SENTENCE_END = re.compile(rf"[\r\n  \x85\v\f<>]+|(?<=[.!?…])[\"'”’)\]]?\s+(?=[\"'“‘(\[]?[{_CAP}\d+一-鿿ぁ-ヿ])|(?<=[。！？])")
+_SENTENCE_END = re.compile(rf"[\r\n  \x85\v\f<>]+|[.!?…][\"'”’)\]]?\s+(?=[\"'“‘(\[]?[{_CAP}\d+一-鿿ぁ-ヿ])|[。！？]")
 _SHORT = re.compile(r"(?:^|[\W\d_])(?:[^\W\d_]|(?-i:Mr|Mrs|Ms|Dr|Prof|Mme|Mlle)|st|rd|ave|blvd|ln|no|nr|tel|str|tp|tx|inc|ltd|co|jr|sr|ext)\.$", re.I)
 
 
@@ -153,10 +157,13 @@ def sentences(text: str) -> Iterator[tuple[int, int]]:
     """Where the sentences and lines of a text begin and end; no end after a short form or initial."""
     a = 0
     for m in _SENTENCE_END.finditer(text):
-        if m.start() > a and text[m.start() - 1] == "." and not m.group().strip(" ") and _SHORT.search(text[max(a, m.start() - 8):m.start()]):
-            continue
-        if m.start() > a:
-            yield a, m.start()
+        end, mark = m.start(), text[m.start()]
+        if mark in ".!?…。！？":
+            end += 1
+            if mark == "." and _SHORT.search(text[max(a, end - 8):end]):
+                continue
+        if end > a:
+            yield a, end
         a = m.end()
     if a < len(text):
         yield a, len(text)
@@ -254,7 +261,7 @@ LABELERS: dict[str, dict[str, Callable[[Seen], int]]] = {
         "street word": lambda s: _yes(re.search(rf"{_ROAD}\s|{_LANE}\s|\s{_EN}(?!\w)|{_STREET_NAME}|\d,?\s{_FR}\s", s.span)),
         "house number": lambda s: _yes(re.match(r"\d", s.span)),
         "no house": lambda s: _no(_NOT_A_HOUSE.search(s.before)),
-        "place": lambda s: _yes(any(p in plain(s.span) for p in PLACES)),
+        "place": lambda s: _yes(_PLACE.search(plain(s.span))),
         "thing": lambda s: _no(sum(w in s.things for w in s.words) > 1),
     },
     "NAME": {
@@ -268,7 +275,7 @@ LABELERS: dict[str, dict[str, Callable[[Seen], int]]] = {
         "thing": lambda s: _no(any(w in s.things for w in s.words)),
         "thing before": lambda s: _no(_THING_BEFORE.search(s.before)),
         "thing after": lambda s: _no(_THING_AFTER.search(s.after)),
-        "place": lambda s: _no(any(p in " ".join(s.words) for p in PLACES)),
+        "place": lambda s: _no(_PLACE.search(" ".join(s.words))),
         "length or digits": lambda s: _no(len(s.words) > 4 or re.search(r"\d", s.span)),
         "initial": lambda s: _yes(re.match(rf"[{_CAP}]\.\s", s.span) or re.search(rf",\s[{_CAP}]\.$", s.span)),
         "contact in sentence": lambda s: _yes(_CONTACT.search(s.rest)),
@@ -280,13 +287,13 @@ def _numbers(t: str) -> Iterator[tuple[int, int]]:
     """Runs of digits that may be phone numbers; runs of several are parted wherever two valid ones are left."""
     for m in PHONE.finditer(t):
         starts = [m.start()]
-        if sum(c.isdigit() for c in m.group()) > 14:
+        if len(_NO_DIGIT.sub("", m.group())) > 14:
             for x in re.finditer(r"(?<=\d)[ \-](?=[0+(])", m.group()):
                 at = m.start() + x.start()
                 if sum(c.isdigit() for c in t[starts[-1]:at]) >= 9 and sum(c.isdigit() for c in t[at:m.end()]) >= 8:
                     starts.append(at + 1)
         for a, b in zip(starts, [*(x - 1 for x in starts[1:]), m.end()]):
-            if 8 <= sum(c.isdigit() for c in t[a:b]) <= 14:
+            if 8 <= len(_NO_DIGIT.sub("", t[a:b])) <= 14:
                 yield a, b
 
 
@@ -302,14 +309,15 @@ def _names(t: str, q: str, lead: str, things: frozenset[str]) -> Iterator[tuple[
                 break
         while len(run) > 1 and len(run[0][0]) > 1 and (run[0][0] in SENTENCE_STARTS or (len(run) > 2 and (run[0][0] in things or _A_ROLE.fullmatch(run[0][0])))) and run[0][0] not in SURNAMES:
             run = run[1:]
-        while len(run) > 2 and run[-1][0] in (SENTENCE_STARTS | things) - NAMES_TOO - SURNAMES - GIVEN_NAMES:
+        while len(run) > 2 and (run[-1][0] in _NO_NAME or run[-1][0] in things) and run[-1][0] not in NAMES_TOO and run[-1][0] not in SURNAMES and run[-1][0] not in GIVEN_NAMES:
             run = run[:-1]
-        if all(w in things or w in SENTENCE_STARTS - NAMES_TOO or len(w) == 1 for w, _, _ in run):  # none of its words can be of a name
+        if all(w in things or w in _NO_NAME or len(w) == 1 for w, _, _ in run) or _PLACE.fullmatch(" ".join(w for w, _, _ in run)):  # none of its words can be of a name
             continue
         if len(run) > 5:  # a name and what follows it: the votes tell which part
             for i in range(len(run) - 1):
                 for last in run[i + 1:i + 5]:
-                    yield run[i][1], last[2]
+                    if not ({run[i][0], last[0]} & (_NO_NAME | things)):
+                        yield run[i][1], last[2]
             continue
         a, b = run[0][1], run[-1][2]
         before = (lead + q[max(0, a - 40):a])[-40:]
@@ -336,7 +344,7 @@ def _proposals(t: str, q: str, lead: str, things: frozenset[str]) -> Iterator[tu
             yield "ID_NUMBER", m.start(), m.end()
         for a, b in _numbers(t):
             yield "PHONE", a, b
-    if numbered or _ROADS.search(t):
+    if _HOUSE.search(t):
         last = -1
         for a, b in sorted((m.start(), -m.end()) for p in ADDRESSES for m in p.finditer(t)):
             if a >= last:
@@ -346,6 +354,7 @@ def _proposals(t: str, q: str, lead: str, things: frozenset[str]) -> Iterator[tu
         yield "NAME", a, b
 
 
+@lru_cache(maxsize=100_000)
 def _bucket(text: str) -> int:
     return zlib.crc32(text.encode()) % BUCKETS
 
@@ -438,17 +447,24 @@ def train_classifier(features: list[list[int]], targets: np.ndarray, rounds: int
 def candidates(df: DataFrame, id_col: str, text_col: str, things: Iterable[str] = ()) -> DataFrame:
     """Every proposed span, written to the checkpoint folder: texts are read by Python once."""
     shared = df.sparkSession.sparkContext.broadcast(frozenset(things))  # words of a reference list
-    readers: list[Reader] = []
-
-    @F.pandas_udf("array<struct<pii_type:string,a:int,b:int,votes:array<int>,features:array<int>>>")
-    def propose(texts: pd.Series) -> pd.Series:
-        if not readers:
-            readers.append(Reader(shared.value))
-        return texts.map(readers[0].spans_of)
-
-    asked = df.where(F.col(text_col).rlike(r"\S"))
-    texts = asked.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.explode(propose(F.col(text_col))).alias("s"))
-    return checkpointed(texts.select("id", "h", "s.*"))
+    asked = df.where(F.col(text_col).rlike(r"\S")).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+
+    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(shared.value)
+        for batch in batches:
+            rows, spans = [], []
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                found = reader.spans_of(text)
+                rows += [i] * len(found)
+                spans += found
+            at = pa.array(rows, pa.int64())
+            flat = lambda k: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(s[k]) for s in spans)]), pa.int32()), pa.array([x for s in spans for x in s[k]], pa.int32()))
+            one = lambda k, kind: pa.array([s[k] for s in spans], kind)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), one("pii_type", pa.string()), one("a", pa.int32()), one("b", pa.int32()), flat("votes"), flat("features")],
+                names=["id", "h", "pii_type", "a", "b", "votes", "features"])
+
+    return checkpointed(asked.mapInArrow(propose, f"id {asked.schema['id'].dataType.simpleString()}, h bigint, pii_type string, a int, b int, votes array<int>, features array<int>"))
 
 
 def vote_patterns(spans: DataFrame) -> dict[str, dict[tuple[int, ...], int]]:
