@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +27,7 @@ def lookup_join(rows: DataFrame, known: DataFrame, keys: Sequence[str], row_size
     hot = known.where(F.col(times) > HOT_SHARE * total).select(*keys, F.lit(True).alias("_hot"))
     salted = known.drop(times).join(F.broadcast(hot), list(keys), "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    empty = functools.reduce(operator.or_, [F.col(k).isNull() for k in keys])  # rows that can match nothing go anywhere
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).when(empty, F.pmod(F.xxhash64(*spread), F.lit(1_000_003)).cast("int")).otherwise(F.lit(0))
     marked = rows.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", salt).drop("_hot")
     return marked.join(salted, [*keys, "_salt"], "left").drop("_salt")
