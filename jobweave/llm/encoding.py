@@ -1,10 +1,13 @@
 """Encoding texts with a public byte-level BPE vocabulary, and decoding.
 
 Words (the pattern's matches) are encoded once each: the distinct words' bytes, as hex pairs,
-are folded by ranked merges with higher-order functions over a literal rank map, and the result is
-joined back to the documents. The rank map is an array of small maps, picked by CRC, since a
-lookup in one map of 50,000 keys would read them all. Words over ``LONG_WORD`` bytes, for which the fold is
-quadratic, go through a heap in an Arrow UDF with the same result.
+are folded by ranked merges with higher-order functions over a literal rank map. The rank map is an
+array of small maps, picked by CRC, since a lookup in one map of 50,000 keys would read them all. A word is
+first cut wherever no token of the vocabulary has the two bytes side by side: no merge ever crosses
+such a place, so the parts are folded apart and long words cost little more than short ones.
+
+The ``HOT_WORDS`` most frequent words go into the plan as a literal of the same kind and are looked up in
+place; only the other words leave their text, are joined to the dictionary and put back between them.
 
 Defined results: null and empty texts give an empty list; rows with the same id and text are one
 document; rows with the same id and other texts stay apart; a null id is an id like any other.
@@ -19,7 +22,6 @@ import os
 import zlib
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The public pattern of this vocabulary; \s is Unicode white space, which Java has to be told.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
 MAPS = 8_192
-LONG_WORD = 48
+HOT_WORDS = 16_384
+NO_RANK = 2_147_483_647
 WORDS_PER_TASK = 20_000
 
 
@@ -63,44 +66,63 @@ def _rank_map(path: str) -> Column:
     return F.from_json(F.lit(_rank_json(path)), "array<map<string,int>>")  # folded to a literal
 
 
+@lru_cache(maxsize=4)
+def _crossing_json(path: str) -> str:
+    """For every two bytes whether some token has them side by side."""
+    pairs = {token[i:i + 2] for token in load_ranks(path) for i in range(len(token) - 1)}
+    return json.dumps([(n.to_bytes(2, "big") in pairs) for n in range(65_536)], separators=(",", ":"))
+
+
 def _rank(ranks: Column, piece: Column) -> Column:
-    """The rank of one byte string, given in hex; null if it is no token."""
-    return ranks[(F.crc32(piece.cast("binary")) % MAPS).cast("int")][piece]
+    """The rank of one byte string, given in hex; NO_RANK if it is no token."""
+    return F.coalesce(ranks[(F.crc32(piece.cast("binary")) % MAPS).cast("int")][piece], F.lit(NO_RANK))
 
 
 def fold_word(word: Column, path: str) -> Column:
     """array<int>: the token ids of one word, by merging the pair of lowest rank until none is left.
 
-    The rank map is bound once to a name, since plans, and all that keeps their text, would else hold it at every use.
+    The literals are bound once to names, since plans, and all that keeps their text, would else hold them at every use.
     """
-    return _let(_rank_map(path), lambda ranks: _let(F.hex(word.cast("binary")), lambda h: _fold_hex(h, ranks)))
+    crossing = F.from_json(F.lit(_crossing_json(path)), "array<boolean>")
+    return _let(crossing, lambda cross: _let(_rank_map(path), lambda ranks: _let(F.hex(word.cast("binary")), lambda h: F.flatten(F.transform(_parts(h, cross), lambda part: _fold_hex(part, ranks))))))
+
+
+def _parts(h: Column, cross: Column) -> Column:
+    """The hex of a word, cut between bytes that no token has side by side."""
+    n = (F.length(h) / 2).cast("int")
+    inner = F.filter(F.sequence(F.lit(0), n), lambda i: (i > 0) & (i < n) & ~cross[F.conv(F.substr(h, i * 2 - 1, F.lit(4)), 16, 10).cast("int")])
+    cuts = F.concat(F.array(F.lit(0)), inner, F.array(n))
+    return _let(cuts, lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: F.substr(h, a * 2 + 1, (b - a) * 2)))
 
 
 def _fold_hex(h: Column, ranks: Column) -> Column:
-    def merge(state: Column, _: Column) -> Column:
-        p = state["p"]
+    """The state holds the pieces and the ranks of neighbouring pairs; a merge works out two of them again."""
 
-        def with_ranks(found: Column) -> Column:
-            best = F.array_min(found)
+    def merge(state: Column, _: Column) -> Column:
+        p, r = state["p"], state["r"]
 
-            def at(i: Column) -> Column:
-                merged = F.concat(F.slice(p, 1, i - 1), F.array(F.concat(p[i - 1], p[i])), F.slice(p, i + 2, F.size(p)))
-                return F.struct(merged.alias("p"), (F.size(p) > 2).alias("live"))
+        def at(i: Column) -> Column:  # the pair of pieces i and i + 1, from 1
+            def put(m: Column) -> Column:
+                pieces = F.concat(F.slice(p, 1, i - 1), F.array(m), F.slice(p, i + 2, F.size(p)))
+                left = F.when(i > 1, F.array(_rank(ranks, F.concat(p[i - 2], m)))).otherwise(F.slice(r, 1, 0))
+                right = F.when(i + 1 < F.size(p), F.array(_rank(ranks, F.concat(m, p[i + 1])))).otherwise(F.slice(r, 1, 0))
+                pairs = F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(r)))
+                return F.struct(pieces.alias("p"), pairs.alias("r"))
 
-            return F.when(best.isNull(), F.struct(p.alias("p"), F.lit(False).alias("live"))).otherwise(_let(F.array_position(found, best).cast("int"), at))
+            return _let(F.concat(p[i - 1], p[i]), put)
 
-        pairs = F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda i: _rank(ranks, F.concat(p[i], p[i + 1])))
-        return F.when(~state["live"], state).otherwise(_let(pairs, with_ranks))
+        return _let(F.array_min(r), lambda best: F.when(F.coalesce(best, F.lit(NO_RANK)) == NO_RANK, state).otherwise(_let(F.array_position(r, best).cast("int"), at)))
 
     n = (F.length(h) / 2).cast("int")
     pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substr(h, i * 2 + 1, F.lit(2)))
-    start = F.struct(pieces.alias("p"), (n > 1).alias("live"))
+    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: _rank(ranks, F.substr(h, i * 2 + 1, F.lit(4))))).otherwise(F.array().cast("array<int>"))
+    start = F.struct(pieces.alias("p"), pairs.alias("r"))
     folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, merge, lambda s: F.transform(s["p"], lambda x: _rank(ranks, x)))
-    return _let(_rank(ranks, h), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
+    return _let(_rank(ranks, h), lambda whole: F.when(whole != NO_RANK, F.array(whole)).otherwise(folded))
 
 
 def bpe(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one word in n log n: a heap of adjacent pairs over a linked list."""
+    """Token ids of one word without Spark: a heap of adjacent pairs over a linked list; what the fold is tested against."""
     if word in ranks:
         return [ranks[word]]
     n = len(word)
@@ -129,56 +151,66 @@ def words_of(text: Column) -> Column:
 
 
 def dictionary(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids) for the distinct words of ``words``, written to the checkpoint folder."""
-    ranks = words.sparkSession.sparkContext.broadcast(load_ranks(path))
-
-    @F.pandas_udf("array<int>")
-    def long_word(w: pd.Series) -> pd.Series:
-        return w.map(lambda x: bpe(x.encode(), ranks.value))
-
-    short = F.octet_length("word") <= LONG_WORD
-    distinct = words.where("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("times"))
-    distinct = checkpointed(distinct)
+    """(word, times, ids) for the distinct words of ``words``, written to the checkpoint folder."""
+    distinct = checkpointed(words.where("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("times")))
     # a word costs far more than its bytes tell, so tasks are cut by words, not by bytes
     distinct = distinct.repartition(max(2 * words.sparkSession.sparkContext.defaultParallelism, -(-distinct.count() // WORDS_PER_TASK)))
-    ids = distinct.where(short).withColumn("ids", fold_word(F.col("word"), path))
-    return checkpointed(ids.unionByName(distinct.where(~short).withColumn("ids", long_word("word"))))
+    return checkpointed(distinct.withColumn("ids", fold_word(F.col("word"), path)))
+
 
+def _hot_ids(words: Column, known: DataFrame, most: int) -> Column:
+    """The ids of each of ``words`` that is one of the ``most`` most frequent, else null: a literal of bounded size."""
+    maps: list[dict[str, list[int]]] = [{} for _ in range(most)]
+    for r in known.orderBy(F.desc("times"), "word").limit(most).collect():
+        maps[zlib.crc32(r.word.encode()) % most][r.word] = list(r.ids)
+    literal = F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,array<int>>>")
+    return _let(literal, lambda hot: F.transform(words, lambda w: hot[(F.crc32(w.cast("binary")) % most).cast("int")][w]))
 
-def _with_ids(tokens: DataFrame, known: DataFrame) -> DataFrame:
-    size = F.octet_length("word") + 4 * F.size("ids") + 48
-    return lookup_join(tokens, known, ["word"], size, ["key", "pos"])
 
+def _keyed(df: DataFrame, id_col: str, text_col: str, keep: dict[str, Column] | None = None) -> DataFrame:
+    return df.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).alias("key"), F.col(text_col).alias("text"), F.struct(*[c.alias(n) for n, c in (keep or {"_": F.lit(0)}).items()]).alias("kept"))
 
-def _tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    docs = df.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).alias("key"), F.col(text_col).alias("text"))
-    return docs.select("key", F.posexplode_outer(words_of(F.col("text"))).alias("pos", "word"))
+
+def _looked_up(docs: DataFrame, path: str, of_hot) -> DataFrame:
+    """(key, kept, word, pos, hot, ids) from (key, text, kept): a row per document with ``hot``, ``of_hot`` of its words' ids, and one per word that is not hot."""
+    known = dictionary(docs.select(F.explode(words_of(F.col("text"))).alias("word")), path)
+    words = docs.select("key", "kept", F.coalesce(words_of(F.col("text")), F.array().cast("array<string>")).alias("words"))
+    cells = words.withColumn("found", _hot_ids(F.col("words"), known, HOT_WORDS))
+    hot = of_hot(F.col("found"))
+    rare = F.filter(F.transform("words", lambda w, i: F.struct(F.when(F.col("found")[i].isNull(), w).alias("word"), i.alias("pos"))), lambda x: x["word"].isNotNull())
+    packed = F.struct(F.lit(None).cast("string").alias("word"), F.lit(-1).alias("pos"), hot.alias("hot"))
+    rows = F.concat(F.array(packed), F.transform(rare, lambda x: F.struct(x["word"].alias("word"), x["pos"].alias("pos"), F.when(F.lit(False), hot).alias("hot"))))
+    tokens = cells.select("key", "kept", F.explode(rows).alias("t")).select("key", "kept", "t.*")
+    return lookup_join(tokens, known, ["word"], F.octet_length("word") + 4 * F.size("ids") + 48, ["key", "pos"])
 
 
 def encode(df: DataFrame, id_col: str, text_col: str, path: str | None = None, with_hash: bool = False) -> DataFrame:
     """(id_col[, text_hash], ids): the token ids of every text, without special tokens.
 
-    The texts, not their words, are shuffled: once, so that every document's words meet again in the
-    partition that they were cut in.
+    The texts are shuffled, once, so that what leaves a document meets it again in the partition it was cut in.
     """
-    path = path or vocabulary_path()
-    known = dictionary(_tokens(df, id_col, text_col).select("word"), path)
-    docs = df.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).alias("key"), F.col(text_col).alias("text")).repartition("key")
-    tokens = docs.select("key", F.posexplode_outer(words_of(F.col("text"))).alias("pos", "word"))
+    rows = _looked_up(_keyed(df, id_col, text_col).repartition("key"), path or vocabulary_path(), lambda found: found)
     cells = F.when(F.col("ids").isNotNull(), F.struct("pos", "ids"))
-    grouped = _with_ids(tokens, known).groupBy("key").agg(F.sort_array(F.collect_list(cells)).alias("cells"))
+    grouped = rows.groupBy("key").agg(F.first("hot", ignorenulls=True).alias("hot"), F.sort_array(F.collect_list(cells)).alias("rare"))
     # repeated rows have every place twice, side by side once sorted
-    grouped = grouped.withColumn("cells", F.filter("cells", lambda c, i: (i == 0) | (F.col("cells")[F.greatest(i - 1, F.lit(0))]["pos"] != c["pos"])))
+    grouped = grouped.withColumn("rare", F.filter("rare", lambda c, i: (i == 0) | (F.col("rare")[F.greatest(i - 1, F.lit(0))]["pos"] != c["pos"])))
+    closed = F.concat("rare", F.array(F.struct(F.size("hot").alias("pos"), F.array().cast("array<int>").alias("ids"))))
+
+    def before(cs: Column, c: Column, k: Column) -> Column:  # the hot words up to a rare one, then its ids
+        last = F.when(k == 0, F.lit(-1)).otherwise(cs[F.greatest(k - 1, F.lit(0))]["pos"])
+        return F.concat(F.flatten(F.slice("hot", last + 2, c["pos"] - last - 1)), c["ids"])
+
+    mixed = _let(closed, lambda cs: F.flatten(F.transform(cs, lambda c, k: before(cs, c, k))))
     names = [F.col("key.id").alias(id_col)] + ([F.col("key.h").alias("text_hash")] if with_hash else [])
-    return grouped.select(*names, F.flatten(F.transform("cells", lambda c: c["ids"])).alias("ids"))
+    return grouped.select(*names, F.when(F.size("rare") == 0, F.flatten("hot")).otherwise(mixed).alias("ids"))
 
 
-def token_counts(df: DataFrame, id_col: str, text_col: str, path: str | None = None) -> DataFrame:
-    """(id_col, n_tokens) of every document; words are counted per document before anything is joined."""
-    tokens = _tokens(df.dropDuplicates([id_col, text_col]), id_col, text_col)
-    known = dictionary(tokens.select("word"), path or vocabulary_path())
-    summed = _with_ids(tokens, known).groupBy("key").agg(F.sum(F.coalesce(F.size("ids"), F.lit(0))).alias("n_tokens"))
-    return summed.select(F.col("key.id").alias(id_col), F.greatest("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"))
+def token_counts(df: DataFrame, id_col: str, text_col: str, path: str | None = None, keep: dict[str, Column] | None = None) -> DataFrame:
+    """(id_col, n_tokens, kept columns) of every document, in one pass over the texts after the dictionary's."""
+    rows = _looked_up(_keyed(df, id_col, text_col, keep), path or vocabulary_path(), lambda found: F.aggregate(found, F.lit(0).cast("bigint"), lambda n, ids: n + F.greatest(F.coalesce(F.size(ids), F.lit(0)), F.lit(0))))
+    sums = rows.groupBy("key").agg(F.sum("hot").alias("hot"), F.sum(F.when(F.col("ids").isNotNull(), F.size("ids"))).alias("rare"), F.count_if(F.col("pos") == -1).alias("copies"), F.first("kept").alias("kept"))
+    n = ((F.col("hot") + F.coalesce("rare", F.lit(0))) / F.col("copies")).cast("bigint")  # repeated rows count once
+    return sums.select(F.col("key.id").alias(id_col), n.alias("n_tokens"), *[F.col(f"kept.{c}").alias(c) for c in keep or ()])
 
 
 def decode(df: DataFrame, id_col: str, ids_col: str, path: str | None = None) -> DataFrame:

@@ -57,14 +57,14 @@ def mix(sized: DataFrame, targets: DataFrame, total_tokens: float | None = None,
 
     A row per document of the mix; ``actual_share`` is what its source reached.
     """
-    sized = sized.where((F.col("n_tokens") > 0) & F.col("source").isNotNull()).select("doc_id", "source", "n_tokens", "weight")
+    sized = checkpointed(sized.where((F.col("n_tokens") > 0) & F.col("source").isNotNull()).select("doc_id", "source", "n_tokens", "weight"))  # read for the budgets, the cut points and the draw
     targets = targets.select("source", "target_share", "max_repeats")
     budgets = checkpointed(_budgets(sized, targets, total_tokens))
     uniform = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(2 ** 52)) + 1) / F.lit(2.0 ** 52 + 1)
     keyed = sized.join(budgets.drop("tokens"), "source").withColumn("draw", -F.log(uniform) / F.col("weight"))
     ordered = prefix_sums(keyed, ["source"], "draw", ["doc_id"], "n_tokens")
     drawn = (F.col("running") <= F.col("to_draw") + F.lit(1e-6)).cast("int")
-    rows = ordered.withColumn("copies", F.col("epochs") + drawn).where("copies > 0").select("doc_id", "source", "copies", "n_tokens", "target_share")
+    rows = checkpointed(ordered.withColumn("copies", F.col("epochs") + drawn).where("copies > 0").select("doc_id", "source", "copies", "n_tokens", "target_share"))
     got = rows.groupBy("source").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("got"))
     got = got.select("source", (F.col("got") / F.sum("got").over(_all())).alias("actual_share"))  # a row per target
     return rows.join(got, "source").select("doc_id", "source", "copies", "n_tokens", "target_share", "actual_share")

@@ -128,10 +128,9 @@ def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, source and quality weight, in one pass."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    source = F.lower(F.trim("source"))
-    about = docs.select("doc_id", source.alias("source"), mixing.quality_weight(F.col("text")).alias("weight"))
-    return encoding.token_counts(docs, "doc_id", "text").join(about, "doc_id")
+    return encoding.token_counts(docs, "doc_id", "text", keep={"source": F.lower(F.trim("source")), "weight": mixing.quality_weight(F.col("text"))})
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,3 +53,16 @@ def test_repeated_rows_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "c"), (None, "d")], "doc_id int, text string")
     assert sorted(((r.doc_id, len(r.ids)) for r in encode(df, "doc_id", "text").collect()), key=str) == [(1, 1), (1, 2), (None, 1)]
     assert encode(df.limit(0), "doc_id", "text").collect() == []
+
+
+@pytest.mark.parametrize("broadcast_bytes", [24_000_000, 1])
+def test_rare_and_long_words_go_back_to_their_places(spark, reference, monkeypatch, broadcast_bytes):
+    rng = random.Random(3)
+    texts = ["", None, "the the the"] + [" ".join(rng.choice(["the", "of", "Xyzzyology", "漢字" * 60, "ab" * 80, "=" * 300, "naïveté", "q" + str(rng.randrange(10**9))]) for _ in range(rng.randint(1, 25))) for _ in range(40)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(5, texts[5])], "doc_id int, text string")
+    real = encoding.lookup_join
+    monkeypatch.setattr(encoding, "HOT_WORDS", 2)
+    monkeypatch.setattr(encoding, "lookup_join", lambda *a: real(*a, broadcast_bytes=broadcast_bytes))
+    got = {r.doc_id: list(r.ids) for r in encode(df, "doc_id", "text").collect()}
+    assert got == {i: reference(t) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_tokens for r in token_counts(df, "doc_id", "text").collect()} == {i: len(v) for i, v in got.items()}
