@@ -160,11 +160,12 @@ def dictionary(words: DataFrame, path: str) -> DataFrame:
 
 def _hot_ids(words: Column, known: DataFrame, most: int) -> Column:
     """The ids of each of ``words`` that is one of the ``most`` most frequent, else null: a literal of bounded size."""
+    slot = lambda w: F.pmod(F.hash(w), F.lit(most))
     maps: list[dict[str, list[int]]] = [{} for _ in range(most)]
-    for r in known.orderBy(F.desc("times"), "word").limit(most).collect():
-        maps[zlib.crc32(r.word.encode()) % most][r.word] = list(r.ids)
+    for r in known.orderBy(F.desc("times"), "word").limit(most).select("word", "ids", slot(F.col("word")).alias("slot")).collect():
+        maps[r.slot][r.word] = list(r.ids)
     literal = F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,array<int>>>")
-    return _let(literal, lambda hot: F.transform(words, lambda w: hot[(F.crc32(w.cast("binary")) % most).cast("int")][w]))
+    return _let(literal, lambda hot: F.transform(words, lambda w: hot[slot(w)][w]))
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str, keep: dict[str, Column] | None = None) -> DataFrame:
@@ -177,9 +178,10 @@ def _looked_up(docs: DataFrame, path: str, of_hot) -> DataFrame:
     words = docs.select("key", "kept", F.coalesce(words_of(F.col("text")), F.array().cast("array<string>")).alias("words"))
     cells = words.withColumn("found", _hot_ids(F.col("words"), known, HOT_WORDS))
     hot = of_hot(F.col("found"))
-    rare = F.filter(F.transform("words", lambda w, i: F.struct(F.when(F.col("found")[i].isNull(), w).alias("word"), i.alias("pos"))), lambda x: x["word"].isNotNull())
+    rare = F.filter(F.sequence(F.lit(0), F.size("found") - 1), lambda i: F.col("found")[i].isNull())
+    rare = F.when(F.exists("found", lambda ids: ids.isNull()), rare).otherwise(F.array().cast("array<int>"))
     packed = F.struct(F.lit(None).cast("string").alias("word"), F.lit(-1).alias("pos"), hot.alias("hot"))
-    rows = F.concat(F.array(packed), F.transform(rare, lambda x: F.struct(x["word"].alias("word"), x["pos"].alias("pos"), F.when(F.lit(False), hot).alias("hot"))))
+    rows = F.concat(F.array(packed), F.transform(rare, lambda i: F.struct(F.col("words")[i].alias("word"), i.alias("pos"), F.when(F.lit(False), hot).alias("hot"))))
     tokens = cells.select("key", "kept", F.explode(rows).alias("t")).select("key", "kept", "t.*")
     return lookup_join(tokens, known, ["word"], F.octet_length("word") + 4 * F.size("ids") + 48, ["key", "pos"])
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -39,14 +40,21 @@ class Layout:
     """One document as token offsets."""
 
     def __init__(self, text: str, ids: np.ndarray, lengths: np.ndarray):
-        self.raw, self.n = text.encode("utf-8", "surrogatepass"), len(ids)
+        self.text, self.raw, self.n = text, text.encode("utf-8", "surrogatepass"), len(ids)
         self.start = np.concatenate([[0], np.cumsum(lengths[ids])])
-        char_bytes = np.fromiter((len(c.encode("utf-8", "surrogatepass")) for c in text), np.int64, len(text))
-        self.char_at = np.concatenate([[0], np.cumsum(char_bytes)])
-        self.whole = np.isin(self.start, self.char_at)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.char_at = np.concatenate([[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))])
         self.cuts = [(kind, self.offsets(m.end() for m in pattern.finditer(text))) for kind, pattern in BOUNDARIES]
         self.any = sorted({x for _, cuts in self.cuts for x in cuts})
-        self.words = self.offsets(m.start() for m in _WORD_END.finditer(text))
+
+    @cached_property
+    def words(self) -> list[int]:
+        return self.offsets(m.start() for m in _WORD_END.finditer(self.text))
+
+    def whole(self, i: int) -> bool:
+        """Whether token ``i`` begins with a character, not inside one."""
+        at = self.start[i]
+        return at >= len(self.raw) or self.raw[at] & 0xC0 != 0x80
 
     def offsets(self, chars: Iterator[int]) -> list[int]:
         """Token offsets of those character positions at which a token begins."""
@@ -64,11 +72,12 @@ class Layout:
             i = bisect_right(cuts, most) - 1
             if i >= 0 and cuts[i] > half:
                 return cuts[i], kind
-        for kind, cuts, least in (("any", self.any, a + limit // 4), ("word", self.words, half)):
+        for kind, least in (("any", a + limit // 4), ("word", half)):
+            cuts = self.any if kind == "any" else self.words
             i = bisect_right(cuts, most) - 1
             if i >= 0 and cuts[i] > least:
                 return cuts[i], kind
-        while most > a + 1 and not self.whole[most]:
+        while most > a + 1 and not self.whole(most):
             most -= 1
         return most, "hard"
 
@@ -80,7 +89,7 @@ class Layout:
             if b >= self.n:
                 return
             back = max(b - overlap, a + 1)
-            while back > a + 1 and not self.whole[back]:
+            while back > a + 1 and not self.whole(back):
                 back -= 1
             a = back
 
