@@ -176,10 +176,10 @@ def _looked_up(docs: DataFrame, path: str, of_hot) -> DataFrame:
     """(key, kept, word, pos, hot, ids) from (key, text, kept): a row per document with ``hot``, ``of_hot`` of its words' ids, and one per word that is not hot."""
     known = dictionary(docs.select(F.explode(words_of(F.col("text"))).alias("word")), path)
     words = docs.select("key", "kept", F.coalesce(words_of(F.col("text")), F.array().cast("array<string>")).alias("words"))
-    cells = words.withColumn("found", _hot_ids(F.col("words"), known, HOT_WORDS))
-    hot = of_hot(F.col("found"))
+    cells = words.withColumn("found", _hot_ids(F.col("words"), known, HOT_WORDS)).withColumn("flat", F.flatten("found"))  # null if a word is not hot
+    hot = of_hot(F.col("found"), F.col("flat"))
     rare = F.filter(F.sequence(F.lit(0), F.size("found") - 1), lambda i: F.col("found")[i].isNull())
-    rare = F.when(F.exists("found", lambda ids: ids.isNull()), rare).otherwise(F.array().cast("array<int>"))
+    rare = F.when(F.col("flat").isNull(), rare).otherwise(F.array().cast("array<int>"))
     packed = F.struct(F.lit(None).cast("string").alias("word"), F.lit(-1).alias("pos"), hot.alias("hot"))
     rows = F.concat(F.array(packed), F.transform(rare, lambda i: F.struct(F.col("words")[i].alias("word"), i.alias("pos"), F.when(F.lit(False), hot).alias("hot"))))
     tokens = cells.select("key", "kept", F.explode(rows).alias("t")).select("key", "kept", "t.*")
@@ -191,7 +191,7 @@ def encode(df: DataFrame, id_col: str, text_col: str, path: str | None = None, w
 
     The texts are shuffled, once, so that what leaves a document meets it again in the partition it was cut in.
     """
-    rows = _looked_up(_keyed(df, id_col, text_col).repartition("key"), path or vocabulary_path(), lambda found: found)
+    rows = _looked_up(_keyed(df, id_col, text_col).repartition("key"), path or vocabulary_path(), lambda found, flat: F.when(flat.isNotNull(), F.array(flat)).otherwise(found))
     cells = F.when(F.col("ids").isNotNull(), F.struct("pos", "ids"))
     grouped = rows.groupBy("key").agg(F.first("hot", ignorenulls=True).alias("hot"), F.sort_array(F.collect_list(cells)).alias("rare"))
     # repeated rows have every place twice, side by side once sorted
@@ -209,7 +209,7 @@ def encode(df: DataFrame, id_col: str, text_col: str, path: str | None = None, w
 
 def token_counts(df: DataFrame, id_col: str, text_col: str, path: str | None = None, keep: dict[str, Column] | None = None) -> DataFrame:
     """(id_col, n_tokens, kept columns) of every document, in one pass over the texts after the dictionary's."""
-    rows = _looked_up(_keyed(df, id_col, text_col, keep), path or vocabulary_path(), lambda found: F.aggregate(found, F.lit(0).cast("bigint"), lambda n, ids: n + F.greatest(F.coalesce(F.size(ids), F.lit(0)), F.lit(0))))
+    rows = _looked_up(_keyed(df, id_col, text_col, keep), path or vocabulary_path(), lambda found, flat: F.when(flat.isNotNull(), F.size(flat).cast("bigint")).otherwise(F.aggregate(found, F.lit(0).cast("bigint"), lambda n, ids: n + F.when(ids.isNotNull(), F.size(ids)).otherwise(0))))
     sums = rows.groupBy("key").agg(F.sum("hot").alias("hot"), F.sum(F.when(F.col("ids").isNotNull(), F.size("ids"))).alias("rare"), F.count_if(F.col("pos") == -1).alias("copies"), F.first("kept").alias("kept"))
     n = ((F.col("hot") + F.coalesce("rare", F.lit(0))) / F.col("copies")).cast("bigint")  # repeated rows count once
     return sums.select(F.col("key.id").alias(id_col), n.alias("n_tokens"), *[F.col(f"kept.{c}").alias(c) for c in keep or ()])
