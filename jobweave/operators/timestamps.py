@@ -2,7 +2,7 @@
 
 An ordered cascade of anchored patterns; the first that matches decides, and what it names must
 exist (strict: no 30 February, no hour 25). A zone or offset in the text counts, then the
-row's own zone, then the default. Local times that occur twice or not at all follow an explicit
+row's own zone, then the one looked up for its source (``source_zones`` learns such a lookup), then the default. Local times that occur twice or not at all follow an explicit
 policy. Everything is a column expression; nothing leaves the JVM.
 
 Defined results: null, blank, relative and impossible texts give null; an unknown zone column
@@ -12,7 +12,7 @@ counts as missing, an unknown zone in the text gives null; digits beyond microse
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Month names by language, numbered 1 to 12.
@@ -50,13 +50,23 @@ CASCADE = [
     ("time first, year first", rf"^{_TIME}{_ZONE},?\s(?<y>\d{{4}})(?<sep>[/.\-])(?<b>\d{{1,2}})\k<sep>(?<a>\d{{1,2}})$", "dmy"),
     ("time first", rf"^{_TIME}{_ZONE},?\s(?<a>\d{{1,2}})(?<sep>[/.\-])(?<b>\d{{1,2}})\k<sep>(?<y>\d{{4}}|\d{{2}})$", "local"),
 ]
+#: What the texts of each pattern begin with.
+_BEGINS = {
+    "iso": "year", "basic": "year", "week": "year", "ordinal": "year", "named": "both", "month first": "word", "vietnamese": "both", "japanese": "year",
+    "year first": "year", "numeric": "day", "time first, year first": "time", "time first": "time",
+}
 _PARTS = ["y", "b", "a", "H", "M", "S", "f", "ap", "z", "r"]
 _WIDE = "０１２３４５６７８９：／－．，　"
 _NARROW = "0123456789:/-., "
 
 
+def _let(value: Column, body) -> Column:
+    """A name for a value, so that it is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _cleaned(text: Column) -> Column:
-    spaced = F.regexp_replace(F.translate(text, _WIDE, _NARROW), r"[\s\p{Z}]+", " ")
+    spaced = F.regexp_replace(F.translate(text, _WIDE + "\u0001\u0002", _NARROW), r"[\s\p{Z}]+", " ")
     return F.lower(F.trim(spaced))
 
 
@@ -65,6 +75,14 @@ def known_zones(spark: SparkSession) -> list[str]:
     return sorted(spark._jvm.java.time.ZoneId.getAvailableZoneIds())
 
 
+def source_zones(df: DataFrame, source: Column, zone: Column, zones: list[str]) -> DataFrame:
+    """(source, zone, rows, share): the zone that most rows of each source state, ties going to the first by name; sources that state none have no row."""
+    stated = df.select(source.alias("source"), zone.alias("zone")).where(F.col("source").isNotNull() & F.col("zone").isin(zones))
+    counted = stated.groupBy("source", "zone").agg(F.count(F.lit(1)).alias("rows"))
+    best = counted.groupBy("source").agg(F.min(F.struct((-F.col("rows")).alias("n"), "zone")).alias("b"), F.sum("rows").alias("all"))
+    return best.select("source", "b.zone", (-F.col("b.n")).alias("rows"), F.round(-F.col("b.n") / F.col("all"), 4).alias("share"))
+
+
 def to_instant(local: Column, zone: Column, ambiguous: str = "earlier", skipped: str = "forward") -> Column:
     """Microseconds of a local time (microseconds as if UTC) in a region.
 
@@ -85,30 +103,43 @@ def to_instant(local: Column, zone: Column, ambiguous: str = "earlier", skipped:
 
 def parse_instant(
     text: Column, zone: Column, locale: Column, end_of_day: Column | bool, zones: list[str],
-    default_zone: str = DEFAULT_ZONE, ambiguous: str = "earlier", skipped: str = "forward",
+    default_zone: str = DEFAULT_ZONE, source_zone: Column | None = None, ambiguous: str = "earlier", skipped: str = "forward",
 ) -> Column:
     """Microseconds since 1970 UTC, or null where ``text`` names no instant.
 
     A date alone is the first microsecond of the local day, or its last where ``end_of_day``.
+    ``source_zone`` is the zone of the row's source, which counts where ``zone`` is null or unknown.
     """
+    source_zone = F.lit(None).cast("string") if source_zone is None else source_zone
     if isinstance(end_of_day, bool):
         end_of_day = F.lit(end_of_day)
-    s = _cleaned(text)
-    groups: Column | None = None
-    for i, (_, pattern, _) in enumerate(CASCADE):
-        template = "\u0001".join([str(i), *[f"${{{p}}}" if f"(?<{p}>" in pattern else "" for p in _PARTS]])
-        hit = F.split(F.regexp_replace(s, pattern, template), "\u0001")
-        groups = F.when(s.rlike(pattern), hit) if groups is None else groups.when(s.rlike(pattern), hit)
-    return F.transform(
-        F.array(F.struct(groups.alias("g"), s.alias("s"), zone.alias("zone"), F.lower(locale).alias("locale"), end_of_day.alias("end"))),
-        lambda x: _assemble(x, zones, default_zone, ambiguous, skipped),
-    )[0]
+    return _let(_cleaned(text), lambda s: _let(_matched(s), lambda hit: _let(
+        F.struct(F.when(hit.startswith("\u0002"), F.split(F.substr(hit, F.lit(2)), "\u0001")).alias("g"), s.alias("s"), zone.alias("zone"), source_zone.alias("source_zone"), F.lower(locale).alias("locale"), end_of_day.alias("end")),
+        lambda x: _assemble(x, zones, default_zone, ambiguous, skipped))))
 
 
-def _assemble(x: Column, zones: list[str], default_zone: str, ambiguous: str, skipped: str) -> Column:
-    def let(value: Column, body) -> Column:  # a name for a value, so that it is worked out once
-        return F.transform(F.array(value), body)[0]
+def _matched(s: Column) -> Column:
+    """What the first pattern that matches says: a mark, the pattern's number and its parts; else the text itself.
 
+    The patterns are tried in order, each once: a replacement that matches puts the mark in front, after
+    which no pattern, all being anchored and none having the mark, matches again. Texts are sent to those patterns only that their first
+    characters allow.
+    """
+    def tried(kinds: str) -> Column:
+        out = s
+        for i, (name, pattern, _) in enumerate(CASCADE):
+            if _BEGINS[name] == kinds or (_BEGINS[name] == "both" and kinds in ("day", "word")):
+                template = "\u0002" + "\u0001".join([str(i), *[f"${{{p}}}" if f"(?<{p}>" in pattern else "" for p in _PARTS]])
+                out = F.regexp_replace(out, pattern, template)
+        return out
+
+    shape = F.translate(F.left(s, F.lit(5)), "123456789", "000000000")
+    return (
+        F.when(shape.startswith("0000"), tried("year")).when(shape.startswith("00:") | shape.startswith("0:"), tried("time"))
+        .when(shape.startswith("0"), tried("day")).otherwise(tried("word")))
+
+
+def _assemble(x: Column, zones: list[str], default_zone: str, ambiguous: str, skipped: str) -> Column:
     g = x["g"]
     part = {p: F.nullif(g[i + 1], F.lit("")) for i, p in enumerate(_PARTS)}
     number = {p: part[p].try_cast("int") for p in ("y", "b", "a", "H", "M", "S")}
@@ -148,7 +179,7 @@ def _assemble(x: Column, zones: list[str], default_zone: str, ambiguous: str, sk
         F.when(F.left(offset_text, F.lit(1)) == "-", -1).otherwise(1) * (F.left(digits, F.lit(2)).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")),
     ).otherwise(F.create_map(*[F.lit(v) for kv in ABBREVIATIONS.items() for v in kv])[offset_text])
     regions = F.create_map(*[F.lit(v) for z in zones if "/" in z or z == "UTC" for v in (z.lower(), z)])
-    known = F.when(x["zone"].isin(zones), x["zone"])
+    known = F.when(x["zone"].isin(zones), x["zone"]).when(x["source_zone"].isin(zones), x["source_zone"])
     epoch = (
         F.when(x["s"].rlike(r"^\d{10}$"), x["s"].try_cast("long") * 1_000_000)
         .when(x["s"].rlike(r"^\d{13}$"), x["s"].try_cast("long") * 1_000)
@@ -162,4 +193,4 @@ def _assemble(x: Column, zones: list[str], default_zone: str, ambiguous: str, sk
         return F.when(v["z"].isNotNull(), with_offset).otherwise(in_region)
 
     values = F.struct(local.alias("local"), minutes.alias("minutes"), part["z"].alias("z"), part["r"].alias("r"), known.alias("known"))
-    return F.when(epoch.isNotNull(), epoch).when(g.isNotNull(), let(values, placed))
+    return F.when(epoch.isNotNull(), epoch).when(g.isNotNull(), _let(values, placed))

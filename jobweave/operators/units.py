@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobweave.session import checkpointed
+
 # How currencies, periods, scales and bounds are written.
 CURRENCIES = {
     "SGD": [r"sgd", r"s\$", r"đô sing", r"đô la sing", r"sing"],
@@ -164,14 +166,15 @@ def _features(df: DataFrame, hide: str) -> DataFrame:
     """Numbers for the forest; ``hide`` is the unit kind to be predicted."""
     index = lambda c, codes: F.coalesce(F.array_position(F.array(*[F.lit(x) for x in codes]), c).cast("double"), F.lit(0.0))
     bucket = lambda c, n: F.pmod(F.xxhash64(F.lower(F.trim(c))), F.lit(n)).cast("double")
+    nominal = lambda name, value, n: value.alias(name, metadata={"ml_attr": {"type": "nominal", "num_vals": n, "name": name}})  # noqa: E731; a category, not a magnitude
     amount = F.coalesce("low", "high").cast("double")
     return (
         df.withColumn("magnitude", F.log10(F.greatest(amount, F.lit(1e-4))))
         .withColumn("spread", F.coalesce(F.log10(F.greatest(F.col("high").cast("double"), F.lit(1e-4))) - F.col("magnitude"), F.lit(0.0)))
-        .withColumn("source_id", bucket(F.col("source"), 61)).withColumn("category_id", bucket(F.col("category"), 127))
-        .withColumn("rank_id", bucket(F.col("rank"), 31)).withColumn("level_id", bucket(F.col("level"), 31))
-        .withColumn("currency_id", F.lit(0.0) if hide == "currency" else index(F.col("currency"), CURRENCY_CODES))
-        .withColumn("period_id", F.lit(0.0) if hide == "period" else index(F.col("period"), PERIOD_CODES))
+        .select(
+            "*", nominal("source_id", bucket(F.col("source"), 61), 61), nominal("category_id", bucket(F.col("category"), 61), 61), nominal("rank_id", bucket(F.col("rank"), 31), 31), nominal("level_id", bucket(F.col("level"), 31), 31),
+            nominal("currency_id", F.lit(0.0) if hide == "currency" else index(F.col("currency"), CURRENCY_CODES), len(CURRENCY_CODES) + 1),
+            nominal("period_id", F.lit(0.0) if hide == "period" else index(F.col("period"), PERIOD_CODES), len(PERIOD_CODES) + 1))
     )
 
 
@@ -200,7 +203,7 @@ def train_unit_model(labelled: DataFrame, trees: int = 20, depth: int = 8, seed:
         fit, held = data.where(F.pmod("h", F.lit(5)) != 0), data.where(F.pmod("h", F.lit(5)) == 0)
         if fit.select("label").distinct().count() < 2 or held.isEmpty():
             continue
-        model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, subsamplingRate=0.7).fit(fit)
+        model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, subsamplingRate=0.7, maxBins=64).fit(fit)
         scored = model.transform(held).select("label", "prediction", F.array_max(vector_to_array("probability")).alias("vote"))
         scored = scored.select((F.col("label") == F.col("prediction")).cast("double").alias("label"), "vote")
         curve = IsotonicRegression(featuresCol="vote", labelCol="label").fit(scored)
@@ -244,6 +247,22 @@ def predict_units(df: DataFrame, model: UnitModel) -> DataFrame:
     return df.select(*keep)
 
 
+def model_quality(stated: DataFrame, model: UnitModel, sure: float = 0.9) -> DataFrame:
+    """(kind, rows, accuracy, converted, converted_accuracy, routed, calibration_error): the model on rows whose stated units are hidden from it.
+
+    ``calibration_error`` is the mean gap, by tenths of confidence and weighted by rows, between confidence and accuracy.
+    """
+    said = predict_units(stated, model)
+    one = lambda k: F.struct(F.lit(k).alias("kind"), F.col(k).alias("true"), F.coalesce(F.col(f"{k}_guess"), F.lit("")).alias("guess"), F.col(f"{k}_sure").alias("sure"))
+    rows = said.select(F.explode(F.array(one("currency"), one("period"))).alias("x")).select("x.*").where("true IS NOT NULL")
+    hit = (F.col("guess") == F.col("true")).cast("int")
+    tenths = rows.groupBy("kind", F.least(F.floor(F.col("sure") * 10), F.lit(9)).alias("tenth")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(hit).alias("hits"), F.sum("sure").alias("sure"), F.count_if(F.col("sure") >= sure).alias("converted"), F.sum(F.when(F.col("sure") >= sure, hit).otherwise(0)).alias("right"))
+    return tenths.groupBy("kind").agg(
+        F.sum("n").alias("rows"), F.round(F.sum("hits") / F.sum("n"), 4).alias("accuracy"), F.sum("converted").alias("converted"), F.round(F.sum("right") / F.nullif(F.sum("converted"), F.lit(0)), 4).alias("converted_accuracy"),
+        F.sum(F.col("n") - F.col("converted")).alias("routed"), F.round(F.sum(F.abs(F.col("sure") - F.col("hits"))) / F.sum("n"), 4).alias("calibration_error"))
+
+
 def stated_pay(df: DataFrame, key: str, text: str, currency: str, period: str, source: str, category: str, rank: str, level: str) -> DataFrame:
     """(key, low, high, currency, period, currency_from, period_from, source, category, rank, level); a row per text that states an amount."""
     base = df.select(
@@ -267,6 +286,7 @@ def to_common_units(stated: DataFrame, factors: list[tuple[str, str, int, int]],
     lack a unit have null results and ``review`` true. ``factors``: (kind, code, numerator,
     denominator), one row per unit code, so it never grows with the data.
     """
+    stated = checkpointed(stated)  # parsed once; its two halves go different ways
     known, lacking = stated.where("currency IS NOT NULL AND period IS NOT NULL"), stated.where("currency IS NULL OR period IS NULL")
     blank = lambda d: d.withColumns({"currency_guess": F.lit(None).cast("string"), "currency_sure": F.lit(None).cast("double"), "period_guess": F.lit(None).cast("string"), "period_sure": F.lit(None).cast("double")})
     guessed = predict_units(lacking, model) if model is not None else blank(lacking)

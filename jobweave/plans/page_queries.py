@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobweave.operators import pipeline, skills, timestamps
 from jobweave.operators.parsers import classify_title
 from jobweave.plans.warehouse_queries import observations
-from jobweave.session import table
+from jobweave.session import small_table, table
 from jobweave.sources import pages
 from jobweave.streaming import daily
 
@@ -83,7 +83,7 @@ def jsonld_fields(spark, d):
 
 def taxonomy_of(spark, d):
     """The reference list's skills: a fixed list."""
-    reference = table(spark, d, "ref_items").where("kind = 'skill'").limit(10_000).collect()
+    reference = small_table(table(spark, d, "ref_items").where("kind = 'skill'"), 10_000)
     return [(r.canonical_name, [a for a in r.aliases or [] if a], "skill") for r in reference]
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ def local_session(app: str = "jobweave", cpus: int | str = 8, partitions: int =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("JOBWEAVE_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in conf.items():
@@ -27,12 +30,16 @@ def local_session(app: str = "jobweave", cpus: int | str = 8, partitions: int =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; one of our own only where it is unset (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder of ``spark.checkpoint.dir``; a temporary one only in local mode, where there is one machine."""
     have = spark.sparkContext._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get()
-    path = named or tempfile.mkdtemp(prefix="jobweave-checkpoint-")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="jobweave-checkpoint-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
@@ -43,6 +50,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_table(df: DataFrame, most: int) -> list:
+    """The rows of a reference table that does not grow with the data; raises where it has more than ``most``."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a reference table is meant to have at most {most} rows")
+    return rows
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table. Zoneless timestamps mean UTC, so the session zone is pinned to it."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

@@ -3,7 +3,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from jobweave.operators.timestamps import known_zones, parse_instant
+from jobweave.operators.timestamps import known_zones, parse_instant, source_zones
 
 HCM = None
 CASES = [
@@ -45,3 +45,13 @@ def test_policies(spark, ambiguous, skipped, want):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "t string")
     assert df.select(parse_instant(F.col("t"), F.lit(None).cast("string"), F.lit(None).cast("string"), False, known_zones(spark))).collect() == []
+
+
+def test_zone_by_source(spark):
+    rows = [("a", "Asia/Tokyo"), ("a", "Asia/Tokyo"), ("a", "UTC"), ("b", "No/Zone"), ("b", None), (None, "UTC"), ("c", "UTC"), ("c", "Europe/Berlin")]
+    df = spark.createDataFrame(rows, "source string, zone string")
+    got = {(r.source, r.zone, r.rows) for r in source_zones(df, F.col("source"), F.col("zone"), known_zones(spark)).collect()}
+    assert got == {("a", "Asia/Tokyo", 2), ("c", "Europe/Berlin", 1)}
+    texts = spark.createDataFrame([(0, None, "Asia/Tokyo"), (1, "UTC", "Asia/Tokyo"), (2, None, None), (3, "No/Zone", "Asia/Tokyo")], "i int, z string, sz string")
+    u = parse_instant(F.lit("2025-03-08 12:00"), F.col("z"), F.lit(None).cast("string"), False, known_zones(spark), source_zone=F.col("sz"))
+    assert [r.u for r in texts.select("i", u.alias("u")).orderBy("i").collect()] == [us(x) for x in ("2025-03-08T03:00:00", "2025-03-08T12:00:00", "2025-03-08T05:00:00", "2025-03-08T03:00:00")]
