@@ -7,13 +7,14 @@ buckets before are added. Ties of the order column are ordered by the tie column
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 500_000
-MOST_BUCKETS = 4_096
+MOST_BUCKETS = 65_536
 
 
 def bucket_bounds(df: DataFrame, order: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
@@ -29,12 +30,27 @@ def bucket_bounds(df: DataFrame, order: str, rows_per_bucket: int = ROWS_PER_BUC
     return sorted(set(cuts or []))
 
 
+def bucket_of(x: Column, bounds: Sequence[float]) -> Column:
+    """How many of the increasing ``bounds`` are below ``x``, by halving; 0 for null."""
+    if not bounds:
+        return F.lit(0)
+    cuts = F.from_json(F.lit(json.dumps([float(b) for b in bounds])), "array<double>")  # folded to a literal
+    whole = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+
+    def halve(cuts: Column, state: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        above = cuts[F.least(middle, F.lit(len(bounds) - 1))] < x
+        return F.when(state["low"] >= state["high"], state).when(above, F.struct((middle + 1).alias("low"), state["high"].alias("high"))).otherwise(F.struct(state["low"].alias("low"), middle.alias("high")))
+
+    steps = F.sequence(F.lit(0), F.lit(len(bounds).bit_length()))
+    found = F.transform(F.array(cuts), lambda c: F.aggregate(steps, whole, lambda state, _: halve(c, state), lambda state: state["low"]))[0]
+    return F.when(x.isNull(), F.lit(0)).otherwise(found)
+
+
 def prefix_sums(df: DataFrame, groups: Sequence[str], order: str, ties: Sequence[str], value: str, out: str = "running", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``df`` with the sum of ``value`` up to and with each row of its group, in order."""
     bounds = bucket_bounds(df, order, rows_per_bucket)
-    x = F.col(order).cast("double")
-    bucket = F.coalesce(F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < x)), F.lit(0)) if bounds else F.lit(0)
-    rows = df.withColumn("_bucket", bucket)
+    rows = df.withColumn("_bucket", bucket_of(F.col(order).cast("double"), bounds))
     totals = rows.groupBy(*groups, "_bucket").agg(F.sum(value).alias("_total"))
     before = totals.select(*groups, "_bucket", (F.sum("_total").over(Window.partitionBy(*groups).orderBy("_bucket")) - F.col("_total")).alias("_before"))
     inside = Window.partitionBy(*groups, "_bucket").orderBy(F.col(order).asc_nulls_first(), *ties).rowsBetween(Window.unboundedPreceding, 0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,15 +27,6 @@ def query(sql=None):
     return add
 
 
-@query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'CLOSED' WHEN page_id % 4 = 1 THEN 'EXPIRED' WHEN page_id % 4 = 2 THEN 'ACTIVE' ELSE 'UNKNOWN' END AS state FROM job_jsonld_pages""")
-def closed_state(spark, d):
-    n = F.col("page_id") % 4
-    html = F.when(n == 0, '<div data-job-state="closed">').when(n == 3, "<p>…</p>").otherwise("<p>job</p>")
-    expires = F.when(n == 1, F.unix_micros(F.col("fetched_at").cast("timestamp")) - 1).when(n == 2, F.unix_micros(F.col("fetched_at").cast("timestamp")))
-    p = table(spark, d, "job_jsonld_pages")
-    return p.select("page_id", pages.closed_state(html, expires, F.unix_micros(F.col("fetched_at").cast("timestamp")))["state"].alias("state"))
-
-
 @query()
 def pages_expired(spark, d):
     """The state of every page at its fetch, by the expiry it names."""
@@ -42,26 +35,26 @@ def pages_expired(spark, d):
     return p.select("page_id", pages.closed_state(F.lit(None).cast("string"), expires, F.unix_micros(F.col("fetched_at").cast("timestamp"))).alias("s")).select("page_id", "s.*")
 
 
-@query()
+_TAGS = "lower(coalesce(array_to_string(source_tags, ' | '), ''))"
+_SKILL_NAMES = "(SELECT list(DISTINCT lower(n)) FROM (SELECT unnest(list_concat([canonical_name], coalesce(aliases, []))) AS n FROM ref_items WHERE kind = 'skill') WHERE n <> '')"
+
+
+@query(f"""WITH p AS (SELECT snapshot_id, discovery_method, source_category_raw AS category, coalesce(array_to_string(source_tags, ' | '), '') AS tags, title_raw AS title, normalized_primary_category AS classified,
+  list_has_any(list_transform(coalesce(source_tags, []), lambda x: lower(trim(x, ' '))), {_SKILL_NAMES}) AS skilled FROM topdev_pilot_diagnostic),
+m AS (SELECT *, regexp_matches(tags, '{pages.TECHNICAL_TAG.replace("(?iU)", "(?i)")}') AS tech, regexp_matches(tags, '{pages.NON_IT_TAG.replace("(?iU)", "(?i)")}') AS other FROM p),
+r AS (SELECT snapshot_id, CASE WHEN NOT coalesce(starts_with(discovery_method, 'it_listing_html'), false) THEN 'invalid_discovery_method'
+  WHEN category IS NOT NULL AND lower(trim(category, ' ')) NOT IN ('information technology', 'công nghệ thông tin') THEN 'source_category_non_it' WHEN other AND NOT tech THEN 'source_tags_non_it' WHEN tech THEN NULL
+  WHEN coalesce(classified, 'Unclassified') <> 'Unclassified' OR coalesce(skilled, false) THEN NULL WHEN coalesce(regexp_matches(title, '{pages.IT_TITLE.replace("(?iU)", "(?i)")}'), false) THEN NULL ELSE 'insufficient_it_evidence' END AS reason FROM m)
+SELECT snapshot_id, reason IS NULL AS accepted, reason FROM r""")
 def scope_decision(spark, d):
+    """Whether each delivered page is of information technology: its tags, its category, its skills (tags that the reference list has) and its title."""
+    names = sorted({n.lower() for name, aliases, _ in taxonomy_of(spark, d) for n in (name, *aliases)})  # of a fixed list
     p = table(spark, d, "topdev_pilot_diagnostic")
-    verdict = pages.scope_decision(F.col("discovery_method"), F.col("source_category_raw"), F.col("source_tags"), F.col("title_raw"), classify_title(F.col("title_raw"))["primary_category"])
+    skills_of = F.array_intersect(F.transform("source_tags", lambda x: F.lower(F.trim(x))), F.from_json(F.lit(json.dumps(names)), "array<string>"))
+    verdict = pages.scope_decision(F.col("discovery_method"), F.col("source_category_raw"), F.col("source_tags"), F.col("title_raw"), F.col("normalized_primary_category"), skills_of)
     return p.select("snapshot_id", verdict.alias("v")).select("snapshot_id", "v.*")
 
 
-@query("""SELECT page_id, title AS title_raw, hiringorganization.name AS company_name_raw, CASE WHEN monthsofexperience IS NOT NULL THEN 'minimum ' || monthsofexperience || ' months' END AS experience_raw
-FROM job_jsonld_pages WHERE title IS NOT NULL AND trim(title, ' ') = title AND title <> '' AND (hiringorganization.name IS NULL OR (trim(hiringorganization.name, ' ') = hiringorganization.name AND hiringorganization.name <> ''))""")
-def jsonld_extract(spark, d):
-    """Fields written into a page's JSON-LD block and read back from its html."""
-    p = table(spark, d, "job_jsonld_pages").where("title IS NOT NULL AND trim(title) = title AND title <> '' AND (hiringorganization.name IS NULL OR (trim(hiringorganization.name) = hiringorganization.name AND hiringorganization.name <> ''))")
-    body = F.to_json(F.struct(
-        F.lit("JobPosting").alias("@type"), "title", F.struct(F.col("hiringorganization.name").alias("name")).alias("hiringOrganization"),
-        F.struct(F.col("monthsofexperience").alias("monthsOfExperience")).alias("experienceRequirements")))
-    html = F.concat(F.lit('<html><script type="application/ld+json">{"@graph": ['), F.replace(body, F.lit("</"), F.lit("<\\/")), F.lit("]}</script><script type='application/ld+json'>{bad</script></html>"))
-    found = pages.posting_fields(pages.postings(p.select("page_id", html.alias("html")), "page_id", "html"), "page_id")
-    return found.select("page_id", "title_raw", "company_name_raw", "experience_raw")
-
-
 def posting_block() -> Column:
     """The html of a page of ``job_jsonld_pages``: all its schema.org fields in one JSON-LD block; what is null is left out."""
     given = lambda c, block: F.when(F.col(c).isNotNull(), block)
@@ -74,6 +67,18 @@ def posting_block() -> Column:
     return F.concat(F.lit('<html><script type="application/ld+json">{"@graph": ['), F.replace(body, F.lit("</"), F.lit("<\\/")), F.lit("]}</script><script type='application/ld+json'>{bad</script></html>"))
 
 
+@query(r"""WITH p AS (SELECT page_id, nullif(trim(title, ' '), '') AS title_raw, nullif(trim(hiringorganization.name, ' '), '') AS company_name_raw, nullif(trim(skills, ' '), '') AS s,
+  list_distinct(list_filter([nullif(trim(joblocation.addresslocality, ' '), ''), nullif(trim(joblocation.addressregion, ' '), '')], lambda x: x IS NOT NULL)) AS places, basesalary.amount AS amount, nullif(trim(basesalary.currency, ' '), '') AS currency,
+  nullif(trim(basesalary.unittext, ' '), '') AS unit, monthsofexperience AS months, nullif(trim(employmenttype, ' '), '') AS employment_type_raw, nullif(trim(dateposted, ' '), '') AS posted_at_raw, nullif(trim(validthrough, ' '), '') AS expires_at_raw,
+  nullif(trim(joblocation.addresslocality, ' '), '') AS l1, nullif(trim(joblocation.addressregion, ' '), '') AS l2 FROM job_jsonld_pages)
+SELECT page_id, title_raw, company_name_raw, array_to_string(list_filter(regexp_split_to_array(s, '\s*[,;|]\s*'), lambda x: x <> ''), '|') AS skills_raw, nullif(concat_ws(', ', l1, CASE WHEN l2 IS DISTINCT FROM l1 THEN l2 END), '') AS location_raw,
+CASE WHEN regexp_matches(lower(amount), 'negotiable|thỏa thuận') THEN amount ELSE amount || coalesce(' ' || currency, '') || coalesce('/' || lower(unit), '') END AS salary_raw,
+CASE WHEN months IS NOT NULL THEN 'minimum ' || months || ' months' END AS experience_raw, employment_type_raw, posted_at_raw, expires_at_raw FROM p""")
+def jsonld_extract(spark, d):
+    """``jsonld_fields`` with its skills as one text: every page's fields, written into JSON-LD and read back from the html."""
+    return jsonld_fields(spark, d).withColumn("skills_raw", F.array_join("skills_raw", "|")).drop("description_raw")
+
+
 @query()
 def jsonld_fields(spark, d):
     """All fields of every page, read back from its html; the table has no descriptions."""
@@ -109,6 +114,21 @@ def normalised(spark, d):
     return pipeline.enrich(pipeline.normalise(raw, taxonomy_of(spark, d)))
 
 
+def normalised_postings(spark, d):
+    """The gold postings with all readings, company, place and employment included."""
+    raw = table(spark, d, "job_postings_gold_template").withColumn("experience_raw", F.lit(None).cast("string"))
+    return pipeline.enrich(pipeline.normalise(raw, taxonomy_of(spark, d)), company="company_name", location="location_raw", employment="employment_type")
+
+
+@query()
+def pipeline_postings(spark, d):
+    """Every gold posting with the readings of ``enrich``."""
+    r = normalised_postings(spark, d)
+    return r.select(
+        "record_index", F.col("title.category.primary_category").alias("category"), F.col("company.key").alias("company"), F.col("company.legal_form").alias("legal_form"), F.col("location.city").alias("city"), F.col("employment.value").alias("employment"),
+        F.col("work_mode.value").alias("work_mode"), F.col("salary.shape").alias("salary"), F.size("skills").alias("skills"), F.array_join(F.transform("issues", lambda i: i["code"]), ",").alias("issues"))
+
+
 @query()
 def pipeline_records(spark, d):
     """Every raw posting with all its readings."""

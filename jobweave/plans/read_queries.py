@@ -9,10 +9,11 @@ import functools
 import operator
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobweave.functions import text as tx
+from jobweave.operators import quantiles
 from jobweave.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,8 +129,8 @@ def overview(spark, d):
 def grouped(df: DataFrame, column: str) -> DataFrame:
     """Counts per value, nulls a group of their own, with their share of all in percent."""
     counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy(F.lit(0))  # over the groups, not the rows
-    return counts.select(F.lit(column).alias("field"), "value", "n", F.round(F.col("n") * 100 / F.sum("n").over(whole), 2).alias("percent"))
+    total = df.select(F.lit(1).alias("one")).agg(F.count("one").alias("all"))  # one row
+    return counts.join(F.broadcast(total)).select(F.lit(column).alias("field"), "value", "n", F.round(F.col("n") * 100 / F.col("all"), 2).alias("percent"))
 
 
 @query("\nUNION ALL ".join(f"""SELECT '{c}' AS field, {c} AS value, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS percent
@@ -145,20 +146,25 @@ _TIDY = "upper(trim(currency))"
 round(avg(CAST(amount_min + amount_max AS DOUBLE) / 2), 4) AS mean_mid, round(median(CAST(amount_min + amount_max AS DOUBLE) / 2), 4) AS median_mid, count(*) > 1 AS meaningful
 FROM job_search_salary_offers WHERE amount_min IS NOT NULL AND amount_max IS NOT NULL GROUP BY ALL""")
 def salary_by_currency(spark, d):
-    mid = ((F.col("amount_min") + F.col("amount_max")).cast("double") / 2)
-    return offers(spark, d).where("amount_min IS NOT NULL AND amount_max IS NOT NULL").groupBy(F.upper(F.trim("currency")).alias("currency"), "period").agg(
-        F.count(F.lit(1)).alias("n"), F.min("amount_min").cast("double").alias("lowest"), F.max("amount_max").cast("double").alias("highest"), F.round(F.avg(mid), 4).alias("mean_mid"),
-        F.round(F.median(mid), 4).alias("median_mid"), (F.count(F.lit(1)) > 1).alias("meaningful"))
+    both = offers(spark, d).where("amount_min IS NOT NULL AND amount_max IS NOT NULL").select(
+        F.upper(F.trim("currency")).alias("currency"), "period", "amount_min", "amount_max", ((F.col("amount_min") + F.col("amount_max")).cast("double") / 2).alias("mid"))
+    groups = ["currency", "period"]
+    rows = both.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n"), F.min("amount_min").cast("double").alias("lowest"), F.max("amount_max").cast("double").alias("highest"), F.round(F.avg("mid"), 4).alias("mean_mid"), (F.count(F.lit(1)) > 1).alias("meaningful"))
+    middle = quantiles.quantiles(both, groups, F.col("mid"), {"median_mid": 0.5})
+    return quantiles.joined(rows, middle.withColumn("median_mid", F.round("median_mid", 4)), groups)
 
 
 @query(f"""SELECT {_TIDY} AS currency, CASE WHEN grouping(period) = 1 THEN 'all' ELSE coalesce(period, 'unspecified') END AS period, count(*) AS n,
 round(quantile_cont(CAST(normalized_monthly_min AS DOUBLE), 0.25), 4) AS q1, round(quantile_cont(CAST(normalized_monthly_min AS DOUBLE), 0.75), 4) AS q3
 FROM job_search_salary_offers WHERE normalized_monthly_min IS NOT NULL GROUP BY GROUPING SETS (({_TIDY}, period), ({_TIDY})) HAVING count(*) >= 2""")
 def salary_quartiles(spark, d):
-    o = offers(spark, d).where("normalized_monthly_min IS NOT NULL").select(F.upper(F.trim("currency")).alias("currency"), "period", F.col("normalized_monthly_min").cast("double").alias("v"))
-    both = o.groupingSets([["currency", "period"], ["currency"]], "currency", "period").agg(
-        F.grouping("period").alias("g"), F.count(F.lit(1)).alias("n"), F.percentile("v", F.array(F.lit(0.25), F.lit(0.75))).alias("q")).where("n >= 2")
-    return both.select("currency", F.when(F.col("g") == 1, "all").otherwise(F.coalesce("period", F.lit("unspecified"))).alias("period"), "n", F.round(F.col("q")[0], 4).alias("q1"), F.round(F.col("q")[1], 4).alias("q3"))
+    o = offers(spark, d).where("normalized_monthly_min IS NOT NULL").select(F.upper(F.trim("currency")).alias("currency"), F.coalesce("period", F.lit("unspecified")).alias("period"), F.col("normalized_monthly_min").alias("v"))
+    each = o.select("currency", F.explode(F.array("period", F.lit("all"))).alias("period"), "v")
+    groups = ["currency", "period"]
+    counted = each.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+    q = quantiles.quantiles(each, groups, F.col("v"), {"q1": 0.25, "q3": 0.75})
+    return quantiles.joined(counted, q.select(*groups, F.round("q1", 4).alias("q1"), F.round("q3", 4).alias("q3")), groups)
 
 
 @query("""SELECT DISTINCT job_posting_id FROM job_search_salary_offers p WHERE EXISTS (SELECT 1 FROM job_search_salary_offers o WHERE o.job_posting_id = p.job_posting_id
@@ -269,15 +275,6 @@ def text_comparison_key(spark, d):
     return jobs(spark, d).select("record_index", tx.comparison_key(F.col("title_raw")).alias("key"))
 
 
-@query("""WITH k AS (SELECT record_index, list_filter(string_split(coalesce(trim(regexp_replace(lower(company_industry), '[^a-z0-9]+', ' ', 'g')), ''), ' '), lambda x: x <> '') AS a,
-list_filter(string_split(coalesce(trim(regexp_replace(lower(seniority), '[^a-z0-9]+', ' ', 'g')), ''), ' '), lambda x: x <> '') AS b FROM job_postings_gold_template WHERE regexp_matches(coalesce(company_industry, ''), '^[A-Za-z ./-]*$') AND regexp_matches(coalesce(seniority, ''), '^[A-Za-z ./-]*$'))
-SELECT record_index, round(coalesce(len(list_distinct(list_intersect(a, b)))::DOUBLE / nullif(len(list_distinct(list_concat(a, b))), 0), 0), 4) AS share FROM k""")
-def tokenize_jaccard(spark, d):
-    ascii_only = F.coalesce(F.col("company_industry"), F.lit("")).rlike("^[A-Za-z ./-]*$") & F.coalesce(F.col("seniority"), F.lit("")).rlike("^[A-Za-z ./-]*$")
-    share = tx.jaccard(tx.tokens(F.col("company_industry")), tx.tokens(F.col("seniority")))
-    return jobs(spark, d).where(ascii_only).select("record_index", F.round(share.cast("double"), 4).alias("share"))
-
-
 _WORDS = r"list_filter(string_split(coalesce(regexp_replace(" + _PLAIN + r", '[^\p{{L}}\p{{N}}_]+', ' ', 'g'), ''), ' '), lambda x: x <> '')"
 
 

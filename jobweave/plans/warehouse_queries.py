@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jobweave.plans.core_queries import STATE, closed_state_store
 from jobweave.plans.read_queries import jobs, offers
-from jobweave.operators import history
+from jobweave.operators import history, quantiles
 from jobweave.session import table
 
 QUERIES, ORACLE = {}, {}
@@ -159,9 +159,11 @@ def status_events(spark, d):
 round(avg(CAST(normalized_monthly_min AS DOUBLE)), 4) AS mean_min, round(median(CAST(normalized_monthly_min AS DOUBLE)), 4) AS median_min FROM job_search_salary_offers GROUP BY ALL""", DAY)
 def daily_salary(spark, d):
     """Never mixes currencies, periods or tax bases."""
-    v = F.col("normalized_monthly_min").cast("double")
-    return offers(spark, d).groupBy(F.to_date("updated_at").alias("day"), F.upper(F.trim("currency")).alias("currency"), F.lower(F.trim("period")).alias("period"), "tax_basis").agg(
-        F.count(F.lit(1)).alias("offers"), F.count_if("is_disclosed").alias("disclosed"), F.round(F.avg(v), 4).alias("mean_min"), F.round(F.median(v), 4).alias("median_min"))
+    groups = ["day", "currency", "period", "tax_basis"]
+    o = offers(spark, d).select(F.to_date("updated_at").alias("day"), F.upper(F.trim("currency")).alias("currency"), F.lower(F.trim("period")).alias("period"), "tax_basis", "is_disclosed", F.col("normalized_monthly_min").cast("double").alias("v"))
+    rows = o.groupBy(*groups).agg(F.count(F.lit(1)).alias("offers"), F.count_if("is_disclosed").alias("disclosed"), F.round(F.avg("v"), 4).alias("mean_min"))
+    middle = quantiles.quantiles(o, groups, F.col("v"), {"median_min": 0.5})
+    return quantiles.joined(rows, middle.withColumn("median_min", F.round("median_min", 4)), groups)
 
 
 def _daily(spark, d, dimension: Column, name: str) -> DataFrame:

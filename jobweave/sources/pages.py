@@ -71,8 +71,16 @@ def closed_state(html: Column, expires_us: Column, fetched_us: Column) -> Column
         .otherwise(decided(F.lit("UNKNOWN"), "insufficient_evidence", 0.0)))
 
 
-def scope_decision(discovery: Column, category: Column, tags: Column, title: Column, classified: Column) -> Column:
-    """struct(accepted, reason): whether a posting is of information technology, by the first rule that applies."""
+def invalid_page_type(url: Column) -> Column:
+    """What a url without a job id leads to, by its path."""
+    path = F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1))
+    has = lambda x: F.coalesce(F.contains(path, F.lit(x)), F.lit(False))
+    return F.when(has("/companies/"), "company page").when(has("/tim-kiem") | has("/jobs/search"), "category/listing page").otherwise("duplicate or malformed URL")
+
+
+def scope_decision(discovery: Column, category: Column, tags: Column, title: Column, classified: Column, skills: Column | None = None) -> Column:
+    """struct(accepted, reason): whether a posting is of information technology, by the first rule that applies; ``skills`` are those found in it."""
+    skilled = F.lit(False) if skills is None else F.coalesce(F.size(skills) > 0, F.lit(False))
     joined = F.coalesce(F.array_join(tags, " | "), F.lit(""))
     technical, other = joined.rlike(TECHNICAL_TAG), joined.rlike(NON_IT_TAG)
     verdict = lambda ok, why: F.struct(F.lit(ok).alias("accepted"), F.lit(why).cast("string").alias("reason"))
@@ -80,5 +88,5 @@ def scope_decision(discovery: Column, category: Column, tags: Column, title: Col
         F.when(~F.coalesce(discovery.startswith("it_listing_html"), F.lit(False)), verdict(False, "invalid_discovery_method"))
         .when(category.isNotNull() & ~F.lower(F.trim(category)).isin(IT_CATEGORIES), verdict(False, "source_category_non_it"))
         .when(other & ~technical, verdict(False, "source_tags_non_it")).when(technical, verdict(True, None))
-        .when(F.coalesce(classified, F.lit("Unclassified")) != "Unclassified", verdict(True, None)).when(F.coalesce(title.rlike(IT_TITLE), F.lit(False)), verdict(True, None))
+        .when((F.coalesce(classified, F.lit("Unclassified")) != "Unclassified") | skilled, verdict(True, None)).when(F.coalesce(title.rlike(IT_TITLE), F.lit(False)), verdict(True, None))
         .otherwise(verdict(False, "insufficient_it_evidence")))
