@@ -25,37 +25,15 @@ from pyspark.sql import functions as F
 from jobweave.operators.lookup import lookup_join
 from jobweave.session import checkpointed
 
-# Common short forms, by kind and canonical name, beside the aliases of the reference list.
-SHORT_FORMS = {
-    "city": {
-        "Hà Nội": ["HN", "TP HN"], "Hồ Chí Minh": ["HCM", "TPHCM", "TP HCM", "HCMC", "SG"], "Đà Nẵng": [],
-        "Bà Rịa - Vũng Tàu": ["BRVT", "Bà Rịa"], "Thừa Thiên Huế": ["TT Huế"], "Đắk Lắk": ["Daklak", "BMT"], "Hải Phòng": [],
-    },
-    "title": {
-        "Backend Engineer": ["Backend Eng", "Backend Developer", "Backend Dev", "Back-end Engineer", "BE Engineer"],
-        "Frontend Engineer": ["Frontend Eng", "Frontend Developer", "Frontend Dev", "FE Engineer"],
-        "Fullstack Engineer": ["Fullstack Eng", "Fullstack Developer", "Fullstack Dev"],
-        "Mobile Developer": ["Mobile Dev", "Mobile Engineer"], "Data Engineer": ["Data Eng"], "Data Scientist": ["Data Science"],
-        "Machine Learning Engineer": ["ML Engineer", "ML Eng", "MLE"], "DevOps Engineer": ["DevOps Eng", "DevOps"],
-        "Site Reliability Engineer": ["SRE", "Site Reliability Eng"], "Business Analyst": ["BA", "IT BA"], "Product Owner": ["PO"],
-        "Project Manager": ["PM", "Project Mgr"], "Scrum Master": [], "Quality Assurance Engineer": ["QA Engineer", "QA Eng", "QA", "Quality Assurance"],
-        "Automation Tester": ["Auto Tester", "Automation Test"], "Manual Tester": ["Manual Test"], "Security Engineer": ["Security Eng", "Sec Engineer"],
-        "Network Administrator": ["Network Admin"], "Database Administrator": ["DBA", "Database Admin", "DB Admin"],
-        "System Administrator": ["Sysadmin", "System Admin", "SysOps"], "Embedded Engineer": ["Embedded Eng", "Embedded Developer", "Embedded Dev"],
-        "Game Developer": ["Game Dev"], "UI/UX Designer": ["UX/UI Designer", "UI UX", "UX Designer", "UI Designer"],
-        "Technical Support Specialist": ["Tech Support", "Technical Support"], "Blockchain Developer": ["Blockchain Dev"],
-        "Bridge System Engineer": ["BrSE", "Bridge SE", "Bridge System Eng"], "Engineering Manager": ["Eng Manager", "Engineering Mgr"], "Technical Writer": ["Tech Writer"],
-        "Solution Architect": [], "Cloud Architect": [], "Data Analyst": [], "ERP Consultant": [],
-    },
-    "skill": {
-        "JavaScript": ["JS", "ECMAScript"], "TypeScript": ["TS"], "C++": ["C plus plus"], "C#": ["C sharp"], "PostgreSQL": ["Postgres", "Postgre", "PSQL"],
-        "MongoDB": ["Mongo"], "Elasticsearch": ["Elastic"], "React": ["ReactJS"], "React Native": [], "Angular": ["AngularJS"], "Vue.js": ["Vue"],
-        "Node.js": ["Node"], "Spring Boot": [], "Kubernetes": ["Kube"], "Microsoft Azure": ["Azure"], "Google Cloud Platform": ["Google Cloud"],
-        "Amazon Web Services": ["Amazon AWS"], "Apache Spark": ["Spark", "PySpark"], "Apache Kafka": ["Kafka"], "Apache Airflow": ["Airflow"],
-        "Power BI": ["PBI"], "TensorFlow": [], "Natural Language Processing": [], "Microservices": ["Microservice"], "SAP ABAP": ["ABAP"],
-        "Oracle Database": ["Oracle"], "Unreal Engine": ["Unreal", "UE5", "UE4"], "Computer Vision": [], "Unity": ["Unity3D"], "SQL": [],
-    },
+# How words and word pairs are commonly shortened, whatever the list; how symbols are said; makers whose name is often left out.
+SHORT_WORDS = {
+    "engineer": ["eng", "developer", "dev"], "developer": ["dev", "engineer"], "engineering": ["eng"], "administrator": ["admin"], "manager": ["mgr"], "technical": ["tech"], "database": ["db"], "automation": ["auto"], "security": ["sec"],
+    "scientist": ["science"], "frontend": ["front end", "fe"], "backend": ["back end", "be"], "fullstack": ["full stack"], "quality assurance": ["qa"], "machine learning": ["ml"], "site reliability": ["sre"], "user interface": ["ui"],
+    "system": ["sys"], "system engineer": ["se"], "javascript": ["js"], "typescript": ["ts"], "tester": ["test"], "specialist": [],
 }
+SYMBOLS = {"+": " plus", "#": " sharp"}
+MAKERS = {"apache", "microsoft", "google", "amazon", "oracle"}
+CITY_PREFIX = "tp"
 _WORD = re.compile(r"[^\W\d_]+[+#]*|\d+")
 
 
@@ -75,20 +53,24 @@ def distance_for(length: int) -> int:
 
 
 class Trie:
-    """Entries of one kind as paths; a node is (children, id of the entry that ends here or None, most edits allowed below)."""
+    """Entries of one kind as paths; a node is (children, id of the entry that ends here or None, most edits allowed below, most edits of the entry).
 
-    def __init__(self, entries: Iterable[tuple[int, str]]):
-        self.root: list = [{}, None, 0]
-        for ref_id, name in entries:
+    Entries are (id, name) or (id, name, most edits).
+    """
+
+    def __init__(self, entries: Iterable[tuple]):
+        self.root: list = [{}, None, 0, 0]
+        for ref_id, name, *most in entries:
             path = "".join(words(name))
             if not path:
                 continue
-            node, edits = self.root, distance_for(len(path))
+            node, edits = self.root, min([distance_for(len(path)), *most])
             node[2] = max(node[2], edits)
             for c in path:
-                node = node[0].setdefault(c, [{}, None, 0])
+                node = node[0].setdefault(c, [{}, None, 0, 0])
                 node[2] = max(node[2], edits)
             node[1] = ref_id if node[1] is None else min(node[1], ref_id)
+            node[3] = max(edits, node[3])
 
     def search(self, text: str, ends: frozenset[int]) -> list[tuple[int, int, int, int]]:
         """(id, length of the entry, edits, length in the text) of all entries that begin ``text`` and end at one of ``ends``."""
@@ -103,7 +85,7 @@ class Trie:
         while stack:
             node, depth, state, earlier, letter = stack.pop()
             if node[1] is not None and depth:
-                most = distance_for(depth)
+                most = node[3]
                 found += [(node[1], depth, e, p) for p, e in state.items() if e <= most and p in ends]
             for c, child in node[0].items():
                 most, then = child[2], {}
@@ -127,6 +109,18 @@ class Trie:
                     stack.append((child, depth + 1, then, state, c))
         return found
 
+    def candidates(self, text: str) -> list[tuple[int, int, str, int]]:
+        """(id, edits, the part of the text that matched, its first word) of every entry within its distance, from any word on; per entry its best match."""
+        tokens, best = words(text), {}
+        for i in range(len(tokens)):
+            tail = "".join(tokens[i:])
+            ends = frozenset(len("".join(tokens[i:k])) for k in range(i + 1, len(tokens) + 1))
+            for ref_id, length, edits, taken in self.search(tail, ends):
+                found = (3 * edits - length, edits, i, tail[:taken])
+                if ref_id not in best or found < best[ref_id]:
+                    best[ref_id] = found
+        return [(ref_id, edits, part, i) for ref_id, (_, edits, i, part) in sorted(best.items())]
+
     def meant(self, text: str) -> int:
         """The id of the entry meant by ``text``, or -1; words turned round a comma ("Manager, Project") are tried in both orders."""
         best = self._best(words(text))
@@ -151,28 +145,92 @@ class Trie:
         return best
 
 
+def generated_forms(name: str, kind: str | None = None) -> set[str]:
+    """Short and other forms of one name by rule: shortened words, initials, numeronyms, said symbols, a dropped maker, ending or last word."""
+    own = words(name)
+    key, forms = " ".join(own), set()
+    for long, shorts in SHORT_WORDS.items():
+        if re.search(rf"(?<!\S){long}(?!\S)", key):
+            forms |= {re.sub(rf"(?<!\S){long}(?!\S)", x, key) for x in shorts}
+    for form in list(forms):  # a second word may be shortened too
+        for long, shorts in SHORT_WORDS.items():
+            if re.search(rf"(?<!\S){long}(?!\S)", form):
+                forms |= {re.sub(rf"(?<!\S){long}(?!\S)", x, form) for x in shorts}
+    letters = [w for w in own if w.isalpha()]
+    if len(letters) > 1:
+        initials = "".join(w[0] for w in letters)
+        forms |= {initials, f"{CITY_PREFIX} {initials}", *([initials + "c"] if len(letters) > 2 else [])} if kind == "city" else {initials}
+        if len(letters) > 2 and kind == "title":
+            forms.add(letters[0][:2] + initials[1:])
+        forms |= {initials[:i] + x + initials[i + 1:] for i, w in enumerate(letters) for x in SHORT_WORDS.get(w, ()) if len(x) == 2}
+        if letters[0] in MAKERS:
+            forms |= {" ".join(own[1:]), f"{letters[0]} {initials}"}
+        if len(letters) > 2:
+            forms.add(" ".join(own[:-1]))
+        if len(letters) == 2 and kind == "title" and "/" in name:
+            forms |= {" ".join(own[::-1])}
+    if "/" in name:
+        first, _, rest = name.partition(" ")
+        parts = [p for p in first.split("/") if p]
+        forms |= {" ".join(parts), f"{'/'.join(parts[::-1])} {rest}", *(f"{p} {rest}" for p in parts)}
+    if any(c in name for c in SYMBOLS):
+        forms.add("".join(SYMBOLS.get(c, c) for c in name))
+    if len(own) == 1 and len(key) > 6 and key.isalpha():
+        forms.add(f"{key[0]}{len(key) - 2}{key[-1]}")
+    for ending in (".js", "js", "sql", "db", "search"):
+        if len(own) <= 2 and name.lower().endswith(ending) and len(name) - len(ending) > 3:
+            forms.add(name[:-len(ending)])
+    if len(own) == 1 and kind == "skill" and len(key) > 3 and key.isalpha():
+        forms.add(key + "js")
+    return {f for f in forms if f.strip() and f.strip() != key}
+
+
+def short_forms_of(reference: Sequence[tuple[int, str, str, Sequence[str] | None]]) -> dict[str, dict[str, list[str]]]:
+    """Forms by kind and name, generated; a form that two entries would have, or that is an entry's own name or alias, is left out."""
+    owner: dict[tuple[str, str], set[int]] = {}
+    own = {(kind, "".join(words(x))) for _, kind, name, aliases in reference for x in (name, *(aliases or ())) if x}
+    made = [(ref_id, kind, name, generated_forms(name, kind)) for ref_id, kind, name, _ in reference if name]
+    for ref_id, kind, _, forms in made:
+        for f in forms:
+            owner.setdefault((kind, "".join(words(f))), set()).add(ref_id)
+    out: dict[str, dict[str, list[str]]] = {}
+    for ref_id, kind, name, forms in made:
+        out.setdefault(kind, {})[name] = sorted(f for f in forms if len(owner[kind, "".join(words(f))]) == 1 and (kind, "".join(words(f))) not in own)
+    return out
+
+
 def tries(reference: Sequence[tuple[int, str, str, Sequence[str] | None]], short_forms: dict | None = None) -> dict[str, Trie]:
-    """A trie per kind from (ref_id, kind, canonical_name, aliases)."""
-    forms = SHORT_FORMS if short_forms is None else short_forms
-    paths: dict[str, list[tuple[int, str]]] = {}
+    """A trie per kind from (ref_id, kind, canonical_name, aliases); ``short_forms`` by kind and name are the caller's, else generated."""
+    forms = short_forms_of(reference) if short_forms is None else short_forms
+    paths: dict[str, list[tuple]] = {}
     for ref_id, kind, name, aliases in reference:
-        for path in (name, *(aliases or ()), *forms.get(kind, {}).get(name, ())):
-            if path:
-                paths.setdefault(kind, []).append((ref_id, path))
+        paths.setdefault(kind, []).extend((ref_id, path) for path in (name, *(aliases or ())) if path)
+        paths[kind].extend((ref_id, path, 1) for path in forms.get(kind, {}).get(name, ()))  # a short form bears one typing error at most
     return {kind: Trie(entries) for kind, entries in paths.items()}
 
 
+def candidates(values: DataFrame, reference: Sequence[tuple[int, str, str, Sequence[str] | None]], short_forms: dict | None = None) -> DataFrame:
+    """(kind, value, times, ref_id, edits, matched): for every distinct of the ``values`` all entries within their distances, not only the one meant."""
+    shared = values.sparkSession.sparkContext.broadcast(tries(reference, short_forms))
+
+    @F.pandas_udf("array<struct<ref_id:bigint,edits:int,matched:string,word:int>>")
+    def found(kinds: pd.Series, texts: pd.Series) -> pd.Series:
+        by = shared.value
+        return pd.Series([[dict(zip(("ref_id", "edits", "matched", "word"), x)) for x in by[k].candidates(t)] if k in by else [] for k, t in zip(kinds, texts)])
+
+    distinct = values.where(F.col("value").rlike(r"[^\s\p{Z}\p{C}]")).groupBy("kind", "value").agg(F.count(F.lit(1)).alias("times"))
+    distinct = distinct.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), "value")
+    return distinct.withColumn("c", F.explode(found("kind", "value"))).select("kind", "value", "times", "c.ref_id", "c.edits", "c.matched")
+
+
 def map_values(values: DataFrame, reference: Sequence[tuple[int, str, str, Sequence[str] | None]], spread: Sequence[str], short_forms: dict | None = None) -> DataFrame:
     """(kind, value, spread, ref_id) of the ``values`` (with ``kind`` and ``value``) that need mapping.
 
     ``reference`` is a list that does not grow with the data; ``spread`` are the columns that name a row.
     """
     values = values.select("kind", "value", *spread)
-    names = F.create_map(*[
-        x for kind in {r[1] for r in reference} for x in (F.lit(kind), F.array(*[F.lit(r[2]) for r in reference if r[1] == kind and r[2]]))
-    ]) if reference else None
-    canonical = F.coalesce(F.array_contains(names[F.col("kind")], F.col("value")), F.lit(False)) if reference else F.lit(False)
-    asked = values.where(F.col("value").rlike(r"[^\s\p{Z}\p{C}]") & ~canonical)
+    names = values.sparkSession.createDataFrame(sorted({(kind, name) for _, kind, name, _ in reference if kind and name}), "kind string, value string")
+    asked = values.where(F.col("value").rlike(r"[^\s\p{Z}\p{C}]")).join(F.broadcast(names), ["kind", "value"], "left_anti")  # a row per entry of the reference list
     shared = values.sparkSession.sparkContext.broadcast(tries(reference, short_forms))
 
     @F.pandas_udf("bigint")

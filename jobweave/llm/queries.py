@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobweave.llm import consensus, encoding, matching, mixing, percentiles, pii, splitting
-from jobweave.session import table
+from jobweave.session import checkpointed, table
 
 SURVIVING = ["company_name", "company_industry", "company_size", "seniority", "education_level"]
 FRACTIONS = [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
@@ -43,6 +43,18 @@ def p1_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(texts, "record_id", "description_raw", pii.find(texts, "record_id", "description_raw", things=_things(spark, sf_dir)))
 
 
+def p1_changed_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions whose redaction is anything but the text with its spans replaced: none. The text is put together again from the redaction's other parts."""
+    texts = _described(spark, sf_dir)
+    spans = checkpointed(pii.find(texts, "record_id", "description_raw", things=_things(spark, sf_dir)))
+    redacted = pii.redact(texts, "record_id", "description_raw", spans)
+    sums = spans.groupBy(F.col("id").alias("record_id")).agg(F.sum(F.col("b") - F.col("a")).alias("cut"), F.sum(F.length("pii_type") + 2).alias("put"))
+    both = texts.join(redacted, "record_id").join(sums, "record_id", "left")
+    grown = F.length("redacted") - F.length("description_raw") - F.coalesce("put", F.lit(0)) + F.coalesce("cut", F.lit(0))
+    same = F.when(F.col("put").isNull(), F.col("redacted").eqNullSafe(F.col("description_raw"))).otherwise(F.lit(True))
+    return both.where((F.coalesce(grown, F.lit(0)) != 0) | ~same).select("record_id")
+
+
 def p1_labelers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each labeler said over all descriptions, and its estimated reliability."""
     return pii.labelers(_described(spark, sf_dir), "record_id", "description_raw", _things(spark, sf_dir))
@@ -77,17 +89,46 @@ def p3_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.select(F.col("cluster").alias("cluster_id"), F.col("field").alias("field_name"), F.col("member").cast("int").alias("member_index"), "value")
 
 
-def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_values(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
+    """(record_index, field_name, kind, value_no, value) of all places, titles and skills, and the reference list."""
     jobs = table(spark, sf_dir, "job_postings_gold_template").select("record_index", "location_raw", "title_raw", "skills_raw")
     reference = [(r.ref_id, r.kind, r.canonical_name, r.aliases) for r in reference_rows(spark, sf_dir)]
     one = lambda field, kind: F.array(F.struct(F.lit(field).alias("field_name"), F.lit(kind).alias("kind"), F.lit(0).alias("value_no"), F.col(field).alias("value")))
     skills = F.transform(
         F.coalesce("skills_raw", F.array().cast("array<string>")),
         lambda s, i: F.struct(F.lit("skills_raw").alias("field_name"), F.lit("skill").alias("kind"), i.alias("value_no"), s.alias("value")))
-    values = jobs.select("record_index", F.explode(F.concat(one("location_raw", "city"), one("title_raw", "title"), skills)).alias("v")).select("record_index", "v.*")
+    return jobs.select("record_index", F.explode(F.concat(one("location_raw", "city"), one("title_raw", "title"), skills)).alias("v")).select("record_index", "v.*"), reference
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values, reference = _raw_values(spark, sf_dir)
     return matching.map_values(values, reference, ["record_index", "field_name", "value_no"]).select("record_index", "field_name", "value_no", "ref_id")
 
 
+def p5_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that mean no entry, with how often each occurs."""
+    values, reference = _raw_values(spark, sf_dir)
+    rows = matching.map_values(values, reference, ["record_index", "field_name", "value_no"]).where("ref_id < 0")
+    return rows.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("times"))
+
+
+def p5_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entries within their distance of every distinct value."""
+    values, reference = _raw_values(spark, sf_dir)
+    return matching.candidates(values, reference)
+
+
+def p5_too_far(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates that are further from every name, alias and form of their entry than their edits say: none. A swap counts two here."""
+    values, reference = _raw_values(spark, sf_dir)
+    forms = matching.short_forms_of(reference)
+    paths = [(r, "".join(matching.words(p))) for r, kind, name, aliases in reference for p in (name, *(aliases or ()), *forms.get(kind, {}).get(name, ())) if p]
+    of = spark.createDataFrame(paths or [(0, "")], "ref_id bigint, path string").groupBy("ref_id").agg(F.collect_set("path").alias("paths"))
+    near = matching.candidates(values, reference).join(F.broadcast(of), "ref_id")  # a row per entry of the reference list
+    least = F.array_min(F.transform("paths", lambda p: F.levenshtein(F.col("matched"), p)))
+    return near.where(least > 2 * F.col("edits")).select("kind", "value", "ref_id")
+
+
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many values of each column were mapped, and how many mean no entry."""
     rows = p5_found(spark, sf_dir)
@@ -137,6 +178,12 @@ def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_sized(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
 
+def p9_over_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the mix that are used more often than their source allows, or more than once listed: none."""
+    rows = p9_mix(spark, sf_dir).join(table(spark, sf_dir, "mix_targets").select("source", "max_repeats"), "source")
+    return rows.groupBy("doc_id").agg(F.sum("copies").alias("copies"), F.max("max_repeats").alias("most"), F.count(F.lit(1)).alias("rows")).where("copies > most OR rows > 1").select("doc_id")
+
+
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(p9_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
@@ -153,8 +200,41 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir)
 
 
+def p10_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces that are over the limit, do not begin 64 to 67 tokens before the end of the one before, or are not in their text: none."""
+    pieces = checkpointed(_pieces(spark, sf_dir))
+    before = pieces.select("doc_id", (F.col("piece_no") + 1).alias("piece_no"), (F.col("start_token") + F.col("n_tokens")).alias("ended"))
+    chained = pieces.join(before, ["doc_id", "piece_no"], "left").join(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("whole")), "doc_id")
+    overlap = F.coalesce(F.col("ended") - F.col("start_token"), F.lit(64))
+    first = (F.col("piece_no") == 0) & (F.col("start_token") != 0)
+    return chained.where((F.col("n_tokens") > 1024) | ~overlap.between(64, 67) | first | ((F.col("piece_no") > 0) & F.col("ended").isNull()) | ~F.contains("whole", F.col("text"))).select("doc_id", "piece_no")
+
+
+def p7_out_of_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles put together from rounded days that differ from the exact ones by more than the stated error: none."""
+    exact, merged = p7_percentiles(spark, sf_dir).alias("e"), p7_merged_days(spark, sf_dir).alias("m")
+    both = exact.join(merged, F.col("e.currency").eqNullSafe(F.col("m.currency")) & (F.col("e.fraction") == F.col("m.fraction")), "full")
+    far = F.abs(F.col("e.value") - F.col("m.value")) > F.abs(F.col("e.value")) * F.col("m.relative_error") * 1.0000001
+    return both.where(far | F.col("e.n").isNull() | F.col("m.n").isNull() | (F.col("e.n") != F.col("m.n"))).select("e.currency", "e.fraction")
+
+
+def p3_vote_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The open vote where all usable values of a field are single words: there the alignment has one column, and the heaviest word wins."""
+    cells = _members(spark, sf_dir).select("cluster", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in SURVIVING])).alias("c")).select("cluster", "c.*")
+    plain = cells.where(consensus.usable(F.col("value"))).groupBy("cluster", "field").agg(F.bool_and(~F.col("value").rlike(r"\s|\p{Z}")).alias("words"))
+    return p3_vote(spark, sf_dir).join(plain.where("words").select(F.col("cluster").alias("cluster_id"), F.col("field").alias("field_name")), ["cluster_id", "field_name"], "left_semi")
+
+
+def p3_outvoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields in which the open vote and the most believed member differ."""
+    first = consensus.survivors(_members(spark, sf_dir), SURVIVING).select(F.col("cluster").alias("cluster_id"), F.col("field").alias("field_name"), F.col("value").alias("most_believed"))
+    voted = p3_vote(spark, sf_dir).select("cluster_id", "field_name", F.col("value").alias("voted"))
+    return first.join(voted, ["cluster_id", "field_name"]).where("most_believed <> voted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p1_found": p1_found, "p1_redacted": p1_redacted, "p1_labelers": p1_labelers, "p3_found": p3_found, "p3_golden": p3_golden, "p3_vote": p3_vote, "p5_found": p5_found, "p5_report": p5_report,
+    "p1_found": p1_found, "p1_redacted": p1_redacted, "p1_labelers": p1_labelers, "p3_found": p3_found, "p3_golden": p3_golden, "p1_changed_outside": p1_changed_outside, "p3_vote": p3_vote, "p3_vote_words": p3_vote_words, "p3_outvoted": p3_outvoted, "p5_unmatched": p5_unmatched, "p5_candidates": p5_candidates, "p5_too_far": p5_too_far, "p7_out_of_bound": p7_out_of_bound,
+    "p9_over_cap": p9_over_cap, "p10_gaps": p10_gaps, "p5_found": p5_found, "p5_report": p5_report,
     "p7_percentiles": p7_percentiles, "p7_merged_days": p7_merged_days, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip,
     "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pieces": p10_pieces,
 }
@@ -201,4 +281,16 @@ ORACLE: dict[str, str] = {
   max(v) FILTER (b.field_name = 'education_level') AS education_level
 FROM record r LEFT JOIN best b USING (cluster_id) GROUP BY ALL""",
     "p7_percentiles": _P7,
+    "p3_vote_words": _MEMBERS + """, w AS (
+  SELECT cluster_id, field, v, sum(1.0 / least(trust, 1000)) AS weight, min({'t': trust, 'l': -epoch_us(coalesce(latest, TIMESTAMP '1900-01-01')), 'm': member}) AS b FROM known WHERE good GROUP BY ALL),
+only_words AS (SELECT cluster_id, field FROM w GROUP BY ALL HAVING bool_and(NOT regexp_matches(v, '[\\s\\p{Z}]')))
+SELECT cluster_id, field AS field_name, b.m AS member_index, v AS value FROM w SEMI JOIN only_words USING (cluster_id, field)
+QUALIFY row_number() OVER (PARTITION BY cluster_id, field ORDER BY round(weight, 9) DESC, b) = 1""",
+    # invariants: no row may break them
+    "p1_changed_outside": "SELECT record_id FROM synthetic_jobs WHERE false",
+    "p5_too_far": "SELECT '' AS kind, '' AS value, CAST(0 AS BIGINT) AS ref_id WHERE false",
+    "p7_out_of_bound": "SELECT '' AS currency, CAST(0 AS DOUBLE) AS fraction WHERE false",
+    "p8_round_trip": "SELECT doc_id FROM documents WHERE false",
+    "p9_over_cap": "SELECT doc_id FROM documents WHERE false",
+    "p10_gaps": "SELECT doc_id, 0 AS piece_no FROM documents WHERE false",
 }

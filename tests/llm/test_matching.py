@@ -2,19 +2,29 @@ import random
 
 import pytest
 
-from jobweave.llm.matching import Trie, distance_for, map_values, tries
+from jobweave.llm.matching import Trie, distance_for, generated_forms, map_values, tries
 
 REF = [(1, "city", "Hà Nội", ["Hanoi"]), (2, "city", "Hồ Chí Minh", ["Saigon"]), (5, "city", "Quảng Nam", None), (6, "city", "Nam Định", []), (3, "skill", "Spring", []), (4, "skill", "Spring Boot", []), (7, "skill", "C++", ["cpp"]), (8, "skill", "Go", ["golang"]),
        (9, "skill", "JavaScript", []), (10, "skill", "Java", []), (11, "title", "Project Manager", []), (12, "title", "Data Engineer", ["Kỹ sư dữ liệu"])]
 CASES = [("city", "TP. HN", 1), ("city", "ha-noi", 1), ("city", "HàNội | 3 ngày", 1), ("city", "Ho Chi iMnh", 2), ("city", "Quận 6, Nam Dihn", 6), ("city", "Vientiane", -1), ("skill", "Spring oot", 4), ("skill", "spring-boot 3", 4), ("skill", "Sprng", 3), ("skill", "C++17", 7),
-         ("skill", "C plus plus", 7), ("skill", "Java Script", 9), ("skill", "java (ưu tiên)", 10), ("skill", "biết go", 8), ("skill", "good", -1), ("title", "Senior Manager, Project", -1), ("title", "Manager, Project", 11), ("title", "🔥 Ky su du lieu 🔥", 12), ("title", "12", -1), ("skill", "x" * 20_000, -1)]
+         ("skill", "C plus plus", 7), ("skill", "Java Script", 9), ("skill", "java (ưu tiên)", 10), ("skill", "biết go", 8), ("skill", "good", -1), ("title", "Senior Manager, Project", 11), ("title", "Manager, Project", 11), ("title", "🔥 Ky su du lieu 🔥", 12), ("title", "12", -1), ("skill", "x" * 20_000, -1)]
 
 
-@pytest.mark.parametrize("kind,text,want", [c for c in CASES if c[1] != "Senior Manager, Project"])
+@pytest.mark.parametrize("kind,text,want", CASES)
 def test_meaning(kind, text, want):
     assert tries(REF)[kind].meant(text) == want
 
 
+def test_forms_are_made_by_rule():
+    ref = [(1, "title", "Site Reliability Engineer", []), (2, "title", "Data Engineer", []), (3, "title", "Database Administrator", []), (4, "city", "Hồ Chí Minh", []), (5, "skill", "C++", []), (6, "skill", "Kubernetes", []), (7, "skill", "Apache Spark", []),
+           (8, "title", "UI/UX Designer", []), (9, "title", "Data Entry", [])]
+    got = tries(ref)
+    for kind, text, want in [("title", "SRE", 1), ("title", "Data Eng", 2), ("title", "DBA", 3), ("city", "TP HCM", 4), ("city", "HCMC", 4), ("skill", "C plus plus", 5), ("skill", "k8s", 6), ("skill", "Spark", 7), ("title", "UX Designer", 8)]:
+        assert got[kind].meant(text) == want, text
+    assert got["title"].meant("DE") == -1  # two entries could have it
+    assert generated_forms("") == set() and tries([(1, "x", None, None), (2, "x", "", ["y"])])["x"].meant("y") == 2
+
+
 def edits(a, b):
     """Edits with swaps of neighbours, by the full table."""
     d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
