@@ -5,8 +5,10 @@ All of them give null for null, and null for texts of which nothing is left, unl
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import lru_cache
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,11 +55,26 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.coalesce(share, F.lit(0).cast("decimal(18,10)"))
 
 
+def unescaped(text: Column) -> Column:
+    """Named (the standard's table) and numeric character references read, each once: what they give is not read again."""
+    named = F.from_json(F.lit(json.dumps({k.rstrip(";"): v for k, v in html5.items() if k.endswith(";")})), "map<string,string>")
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"), 1))
+
+    def char(e: Column) -> Column:
+        code = F.when(F.lower(e).startswith("#x"), F.conv(F.substr(e, F.lit(3)), 16, 10)).otherwise(F.substr(e, F.lit(2))).try_cast("int")
+        numeric = F.when(code.between(1, 0xFFFF) & ~code.between(0xD800, 0xDFFF), F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 4, "0")), "UTF-16BE"))
+        return F.when(e.startswith("#"), F.coalesce(numeric, F.lit("\ufffd"))).otherwise(F.coalesce(F.translate(named[e], "&", "\u0001"), F.concat(F.lit("\u0001"), e, F.lit(";"))))
+
+    def put(t: Column, e: Column) -> Column:
+        return F.replace(t, F.concat(F.lit("&"), e, F.lit(";")), F.translate(char(e), "&", "\u0001"))
+
+    return F.when(F.size(found) > 0, F.translate(F.aggregate(found, text, put), "\u0001", "&")).otherwise(text)
+
+
 def html_to_text(html: Column) -> Column:
     """Text without tags, with e-mail addresses and phone numbers replaced by placeholders."""
     bare = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        bare = F.replace(bare, F.lit(entity), F.lit(char))
+    bare = unescaped(bare)
     bare = F.trim(F.regexp_replace(bare, r"(?U)\s+", " "))
     bare = F.regexp_replace(bare, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[REDACTED_EMAIL]")
     return F.regexp_replace(bare, r"(?<!\d)(?:\+84|0)(?:[ .-]?\d){8,10}(?!\d)", "[REDACTED_PHONE]")

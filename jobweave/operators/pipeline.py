@@ -8,10 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from jobweave.functions.text import is_web_url
 from jobweave.operators import parsers, skills
+from jobweave.session import checkpointed
+from jobweave.sources import jsonl
+
+RECORD = ["source", "source_job_id", "source_url", "title_raw", "company_name_raw", "location_raw", "employment_type_raw", "salary_raw", "experience_raw", "description_raw", "posted_at_raw", "collected_at"]
 
 RULE_VERSIONS = {"title": "title.1", "salary": "salary.1", "experience": "experience.1", "skills": "skills.1"}
 
@@ -71,3 +77,30 @@ def report(records: DataFrame) -> DataFrame:
     counts = [F.struct(F.lit(m).alias("measure"), F.count_if(a).alias("eligible"), F.count_if(a & F.coalesce(b, F.lit(False))).alias("reached")) for m, (a, b) in eligible.items()]
     rows = records.agg(F.array(*counts).alias("m")).select(F.explode("m").alias("m")).select("m.*")
     return rows.withColumn("rate", F.round(F.col("reached") / F.nullif(F.col("eligible"), F.lit(0)), 4))
+
+
+def run(spark: SparkSession, path: str, out: str, taxonomy: Sequence[tuple[str, Sequence[str], str]], source: str | None = None, max_records: int | None = None, strict: bool = False) -> DataFrame:
+    """The offline pipeline: strict JSON Lines under ``path`` to accepted, rejected, profile and report under ``out``; returns the report.
+
+    ``source`` keeps one source; ``max_records`` is the caller's limit, the first records by file and line.
+    Records are rejected for what is missing that every record must have, if ``strict`` also for errors.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in RECORD] + [T.StructField("skills_raw", T.ArrayType(T.StringType()))])
+    lines = jsonl.read_jsonl(spark, path, schema)
+    if source is not None:
+        lines = lines.where(F.col("record.source") == source)
+    if max_records is not None:
+        lines = lines.orderBy("file", "line_no").limit(max_records)
+    read = enrich(normalise(lines.select("file", "line_no", "record.*"), taxonomy), company="company_name_raw", location="location_raw", employment="employment_type_raw")
+    missing = F.array(*[_issue(F.coalesce(F.trim(c), F.lit("")) == "", c, f"required_missing_{c}", "REJECT") for c in ("source", "source_job_id", "source_url", "title_raw")])
+    bad_url = _issue(~is_web_url(F.col("source_url")), "source_url", "url_malformed", "REJECT")
+    records = checkpointed(read.withColumn("issues", F.filter(F.concat("issues", missing, F.array(bad_url)), lambda x: x.isNotNull())))
+    rejected = F.exists("issues", lambda i: i["severity"].isin("ERROR", "REJECT") if strict else i["severity"] == "REJECT")
+    jsonl.write_jsonl(records.where(~rejected), f"{out}/accepted", mode="overwrite")
+    jsonl.write_jsonl(records.where(rejected), f"{out}/rejected", mode="overwrite")
+    issues = records.select(F.explode("issues").alias("i")).groupBy("i.code", "i.severity").agg(F.count(F.lit(1)).alias("n"))
+    jsonl.write_jsonl(issues, f"{out}/profile", mode="overwrite")
+    counts = records.agg(F.count(F.lit(1)).alias("eligible"), F.count_if(~rejected).alias("reached"))
+    told = report(records).unionByName(counts.select(F.lit("accepted").alias("measure"), "eligible", "reached", F.round(F.col("reached") / F.nullif(F.col("eligible"), F.lit(0)), 4).alias("rate")))
+    jsonl.write_jsonl(told, f"{out}/report", mode="overwrite")
+    return told
