@@ -232,12 +232,11 @@ def p3_outvoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.join(voted, ["cluster_id", "field_name"]).where("most_believed <> voted")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p1_found": p1_found, "p1_redacted": p1_redacted, "p1_labelers": p1_labelers, "p3_found": p3_found, "p3_golden": p3_golden, "p1_changed_outside": p1_changed_outside, "p3_vote": p3_vote, "p3_vote_words": p3_vote_words, "p3_outvoted": p3_outvoted, "p5_unmatched": p5_unmatched, "p5_candidates": p5_candidates, "p5_too_far": p5_too_far, "p7_out_of_bound": p7_out_of_bound,
-    "p9_over_cap": p9_over_cap, "p10_gaps": p10_gaps, "p5_found": p5_found, "p5_report": p5_report,
-    "p7_percentiles": p7_percentiles, "p7_merged_days": p7_merged_days, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip,
-    "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pieces": p10_pieces,
-}
+_ALL = [
+    p1_found, p1_redacted, p1_labelers, p3_found, p3_golden, p3_vote, p3_outvoted, p5_found, p5_report, p5_unmatched, p5_candidates, p7_percentiles, p7_merged_days, p8_ids, p9_mix, p9_shares, p10_found, p10_pieces,
+    p1_changed_outside, p3_vote_words, p5_too_far, p7_out_of_bound, p8_round_trip, p9_over_cap, p10_gaps,  # what must hold, after the results themselves
+]
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 _FOLD = f"translate(lower(v), '{consensus._ACCENTED}', '{consensus._PLAIN}')"
 _KEY = f"trim(regexp_replace({_FOLD}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
