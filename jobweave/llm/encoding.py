@@ -182,18 +182,18 @@ def _looked_up(docs: DataFrame, path: str, of_hot) -> DataFrame:
     rare = F.when(F.col("flat").isNull(), rare).otherwise(F.array().cast("array<int>"))
     packed = F.struct(F.lit(None).cast("string").alias("word"), F.lit(-1).alias("pos"), hot.alias("hot"))
     rows = F.concat(F.array(packed), F.transform(rare, lambda i: F.struct(F.col("words")[i].alias("word"), i.alias("pos"), F.when(F.lit(False), hot).alias("hot"))))
-    tokens = cells.select("key", "kept", F.explode(rows).alias("t")).select("key", "kept", "t.*")
+    tokens = cells.select("key", "kept", F.explode(rows).alias("t")).select("key", F.when(F.col("t.pos") == -1, F.col("kept")).alias("kept"), "t.*")
     return lookup_join(tokens, known, ["word"], F.octet_length("word") + 4 * F.size("ids") + 48, ["key", "pos"])
 
 
-def encode(df: DataFrame, id_col: str, text_col: str, path: str | None = None, with_hash: bool = False) -> DataFrame:
-    """(id_col[, text_hash], ids): the token ids of every text, without special tokens.
+def encode(df: DataFrame, id_col: str, text_col: str, path: str | None = None, with_hash: bool = False, keep: dict[str, Column] | None = None) -> DataFrame:
+    """(id_col[, text_hash], ids, kept columns): the token ids of every text, without special tokens.
 
     The texts are shuffled, once, so that what leaves a document meets it again in the partition it was cut in.
     """
-    rows = _looked_up(_keyed(df, id_col, text_col).repartition("key"), path or vocabulary_path(), lambda found, flat: F.when(flat.isNotNull(), F.array(flat)).otherwise(found))
+    rows = _looked_up(_keyed(df, id_col, text_col, keep).repartition("key"), path or vocabulary_path(), lambda found, flat: F.when(flat.isNotNull(), F.array(flat)).otherwise(found))
     cells = F.when(F.col("ids").isNotNull(), F.struct("pos", "ids"))
-    grouped = rows.groupBy("key").agg(F.first("hot", ignorenulls=True).alias("hot"), F.sort_array(F.collect_list(cells)).alias("rare"))
+    grouped = rows.groupBy("key").agg(F.first("hot", ignorenulls=True).alias("hot"), F.first("kept", ignorenulls=True).alias("kept"), F.sort_array(F.collect_list(cells)).alias("rare"))
     # repeated rows have every place twice, side by side once sorted
     grouped = grouped.withColumn("rare", F.filter("rare", lambda c, i: (i == 0) | (F.col("rare")[F.greatest(i - 1, F.lit(0))]["pos"] != c["pos"])))
     closed = F.concat("rare", F.array(F.struct(F.size("hot").alias("pos"), F.array().cast("array<int>").alias("ids"))))
@@ -204,13 +204,13 @@ def encode(df: DataFrame, id_col: str, text_col: str, path: str | None = None, w
 
     mixed = _let(closed, lambda cs: F.flatten(F.transform(cs, lambda c, k: before(cs, c, k))))
     names = [F.col("key.id").alias(id_col)] + ([F.col("key.h").alias("text_hash")] if with_hash else [])
-    return grouped.select(*names, F.when(F.size("rare") == 0, F.flatten("hot")).otherwise(mixed).alias("ids"))
+    return grouped.select(*names, F.when(F.size("rare") == 0, F.flatten("hot")).otherwise(mixed).alias("ids"), *[F.col(f"kept.{c}").alias(c) for c in keep or ()])
 
 
 def token_counts(df: DataFrame, id_col: str, text_col: str, path: str | None = None, keep: dict[str, Column] | None = None) -> DataFrame:
     """(id_col, n_tokens, kept columns) of every document, in one pass over the texts after the dictionary's."""
     rows = _looked_up(_keyed(df, id_col, text_col, keep), path or vocabulary_path(), lambda found, flat: F.when(flat.isNotNull(), F.size(flat).cast("bigint")).otherwise(F.aggregate(found, F.lit(0).cast("bigint"), lambda n, ids: n + F.when(ids.isNotNull(), F.size(ids)).otherwise(0))))
-    sums = rows.groupBy("key").agg(F.sum("hot").alias("hot"), F.sum(F.when(F.col("ids").isNotNull(), F.size("ids"))).alias("rare"), F.count_if(F.col("pos") == -1).alias("copies"), F.first("kept").alias("kept"))
+    sums = rows.groupBy("key").agg(F.sum("hot").alias("hot"), F.sum(F.when(F.col("ids").isNotNull(), F.size("ids"))).alias("rare"), F.count_if(F.col("pos") == -1).alias("copies"), F.first("kept", ignorenulls=True).alias("kept"))
     n = ((F.col("hot") + F.coalesce("rare", F.lit(0))) / F.col("copies")).cast("bigint")  # repeated rows count once
     return sums.select(F.col("key.id").alias(id_col), n.alias("n_tokens"), *[F.col(f"kept.{c}").alias(c) for c in keep or ()])
 

@@ -104,8 +104,7 @@ def split_long(df: DataFrame, id_col: str, text_col: str, limit: int = 1024, ove
     """
     path = path or vocabulary_path()
     may = df.where(F.octet_length(text_col) > limit).select(id_col, text_col)
-    long = encode(may, id_col, text_col, path, with_hash=True).where(F.size("ids") > limit)
-    texts = may.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text")).distinct()
+    long = encode(may, id_col, text_col, path, keep={"_text": F.col(text_col)}).where(F.size("ids") > limit)
     sizes = np.zeros(max((ranks := load_ranks(path)).values()) + 1, np.int32)
     for token, rank in ranks.items():
         sizes[rank] = len(token)
@@ -122,6 +121,5 @@ def split_long(df: DataFrame, id_col: str, text_col: str, limit: int = 1024, ove
             ])
         return pd.Series(out)
 
-    with_text = long.join(texts, long[id_col].eqNullSafe(texts["_id"]) & (long["text_hash"] == texts["_hash"]))
-    pieces = with_text.select(id_col, F.explode(cut(F.col("_text"), F.col("ids"))).alias("p"))
+    pieces = long.select(id_col, F.explode(cut(F.col("_text"), F.col("ids"))).alias("p"))
     return pieces.select(id_col, "p.*")
