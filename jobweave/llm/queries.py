@@ -44,7 +44,7 @@ def p1_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_changed_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Descriptions whose redaction is anything but the text with its spans replaced: none. The text is put together again from the redaction's other parts."""
+    """Descriptions whose redaction has not the length that replacing their spans gives, or differs where there is no span: none. Lengths, not letters, are compared where there are spans."""
     texts = _described(spark, sf_dir)
     spans = checkpointed(pii.find(texts, "record_id", "description_raw", things=_things(spark, sf_dir)))
     redacted = pii.redact(texts, "record_id", "description_raw", spans)
